@@ -118,8 +118,8 @@ SELECT doc_id, domain, lang, source, n_tokens,
 
 OP3_SQL = r"""
 WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[\x20\x09-\x0D]+'), x -> x <> '') AS ws FROM documents),
-s AS MATERIALIZED (SELECT doc_id, CASE WHEN len(ws) >= 5 THEN list_distinct(list_transform(range(1, len(ws) - 3), i -> array_to_string(ws[i:i + 4], ' ')))
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS MATERIALIZED (SELECT doc_id, CASE WHEN len(ws) >= 5 THEN list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')))
     WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END AS sh FROM w),
 g AS MATERIALIZED (SELECT doc_id, len(sh)::BIGINT AS n, unnest(sh) AS gram FROM s),
 links AS MATERIALIZED (SELECT a.doc_id AS x, b.doc_id AS y FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id < b.doc_id
@@ -144,7 +144,7 @@ nodes AS (SELECT c, t, coalesce(origin, before) AS reply_to, coalesce(n, 0) AS q
 deep(c, t, depth) AS (SELECT c, t, 0::BIGINT FROM nodes WHERE reply_to IS NULL UNION ALL SELECT n.c, n.t, depth + 1 FROM nodes n JOIN deep ON n.c = deep.c AND n.reply_to = deep.t),
 placed AS (SELECT c, t, depth, row_number() OVER (PARTITION BY c ORDER BY depth, t) AS position FROM deep)
 SELECT base.c AS conv_id, base.t AS turn, role,
-    regexp_replace(array_to_string(list_filter(string_split(body, chr(10)), x -> NOT regexp_matches(x, '^[ \t]*>') AND NOT regexp_matches(x, 'wrote:[ \t\r]*$')), chr(10)),
+    regexp_replace(array_to_string(list_filter(string_split(body, chr(10)), lambda x: NOT regexp_matches(x, '^[ \t]*>') AND NOT regexp_matches(x, 'wrote:[ \t\r]*$')), chr(10)),
         '^[\n\r\t ]+|[\n\r\t ]+$', '', 'g') AS text,
     reply_to, linked_by, quoted_lines, depth, position FROM base JOIN nodes USING (c, t) JOIN placed USING (c, t)
 """
