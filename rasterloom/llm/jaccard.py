@@ -6,13 +6,17 @@ equal sets are one class, and only classes are compared. Every stage keeps all l
 1. Prefix filter. Under one order of all shingles two linked sets share one of their first
    ``n - ceil(t n) + 1``. Frequent shingles (a bounded list, by Misra-Gries counts over all texts)
    come last in the order, so a passage that many texts share draws no candidates.
-2. Groups. A class goes to the group of the smallest shingle it has in common with another class;
+2. Sketches. A class's shingles set bits of a map of at least two bits a shingle. A bit that one
+   map has and the other lacks is a shingle outside the overlap, which bounds the overlap from
+   above; a class that no class on a shingle can link with by that bound leaves the shingle. Most
+   texts that merely share a passage end here, and their sets are never shuffled.
+3. Groups. A class goes to the group of the smallest shingle it has in common with another class;
    large groups are cut into chunks. A chunk is clustered exactly where it lies, so a family of near
    copies shrinks to a few cells.
-3. Matrix. For every prefix shingle the cells that hold it. Cells that meet are paired: first each
+4. Matrix. For every prefix shingle the cells that hold it. Cells that meet are paired: first each
    with the shingle's smallest cell, and, once those links are known, all pairs of cells not yet
    connected.
-4. Opening. A member q of one cell can link into the other cell only if its overlap with that
+5. Opening. A member q of one cell can link into the other cell only if its overlap with that
    cell's shingle union is at least t |q|. Only where that bound holds the cell is opened and its
    sets are compared.
 """
@@ -23,13 +27,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import as_strings, by_bytes, components, materialise, mix, shared_dir, shingle_sets
 
 HEAVY_LIMIT = 1 << 20
 FILTER_BITS = 23
+#: Classes on one shingle up to which their sketches are compared; where more meet, all stay.
+SKETCH_RUN = 4096
 
 
 def _signature(s: np.ndarray) -> int:
@@ -39,6 +45,39 @@ def _signature(s: np.ndarray) -> int:
     return int(mix(folded + np.uint64(len(s))).view(np.int64)[0])
 
 
+def _sketch(s: np.ndarray) -> bytes:
+    """A bit map of a power of two of bits, at least two a shingle; halves can be laid on each other."""
+    bits = 1 << max(6, (2 * len(s) - 1).bit_length())
+    at = np.zeros(bits, bool)
+    at[s & np.uint64(bits - 1)] = True
+    return np.packbits(at, bitorder="little").tobytes()
+
+
+def _may_link(sketches: list[bytes], sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Which of the sets can, by their sketches, link with another of them."""
+    out = np.zeros(len(sizes), bool)
+    width = np.array([len(x) for x in sketches])
+    for w in np.unique(width).tolist():
+        # sets that can link differ by less than a factor of two, so their maps do by one fold at most
+        mine = np.flatnonzero((width == w) | (width == 2 * w))
+        n = sizes[mine]
+        maps = np.zeros((len(mine), w // 8), np.uint64)
+        for k, i in enumerate(mine.tolist()):
+            one = np.frombuffer(sketches[i], np.uint64)
+            maps[k] = one if width[i] == w else one[: w // 8] | one[w // 8 :]
+        todo = np.flatnonzero(width[mine] == w) if len(mine) > 1 else []
+        for k in todo:
+            if out[mine[k]]:
+                continue
+            shared = np.minimum(n - np.bitwise_count(maps & ~maps[k]).sum(1, dtype=np.int64), n[k] - np.bitwise_count(maps[k] & ~maps).sum(1, dtype=np.int64))
+            fits = 100 * shared >= percent * (n + n[k] - shared)
+            fits[k] = False
+            if fits.any():
+                out[mine[fits]] = True
+                out[mine[k]] = True
+    return out
+
+
 def _merge(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(keys, kind="stable")
     keys, counts = keys[order], counts[order]
@@ -87,7 +126,7 @@ def frequent_shingles(texts: DataFrame, shingle: int, keep: int = 1 << 17, limit
 
 
 def _scan(texts: DataFrame, heavy: np.ndarray, shingle: int, percent: int) -> DataFrame:
-    """``id, n, cls, prefix`` of each text; a task gives the prefix of a class once."""
+    """``id, n, cls, prefix, sketch`` of each text; a task gives the last two of a class once."""
     shared = texts.sparkSession.sparkContext.broadcast(heavy)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,16 +134,17 @@ def _scan(texts: DataFrame, heavy: np.ndarray, shingle: int, percent: int) -> Da
         for batch in batches:
             column = as_strings(batch, "t")
             for a, b in by_bytes(column):
-                n, cls, prefixes, ends = [], [], [], [0]
+                n, cls, prefixes, ends, sketches = [], [], [], [0], []
                 for s in shingle_sets(column.slice(a, b - a), shingle):
                     c = _signature(s) if len(s) else 0
                     n.append(len(s))
                     cls.append(c)
-                    p = 0
+                    p, sketch = 0, None
                     if len(s) and c not in met:
                         if len(met) > 1_000_000:
                             met.clear()
                         met.add(c)
+                        sketch = _sketch(s)
                         p = len(s) - -(-percent * len(s) // 100) + 1
                         if len(frequent):
                             at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
@@ -112,11 +152,12 @@ def _scan(texts: DataFrame, heavy: np.ndarray, shingle: int, percent: int) -> Da
                             s = np.concatenate([s[~late], s[late]]) if late.any() else s
                         prefixes.append(s[:p])
                     ends.append(ends[-1] + p)
+                    sketches.append(sketch)
                 flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.uint64)
                 lists = pa.ListArray.from_arrays(pa.array(np.array(ends, np.int32)), pa.array(flat.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), lists], names=["id", "n", "cls", "prefix"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), lists, pa.array(sketches, pa.binary())], names=["id", "n", "cls", "prefix", "sketch"])
 
-    return texts.mapInArrow(run, "id long, n long, cls long, prefix array<long>")
+    return texts.mapInArrow(run, "id long, n long, cls long, prefix array<long>, sketch binary")
 
 
 def _meeting(tokens: DataFrame) -> DataFrame:
@@ -158,6 +199,38 @@ def _meeting(tokens: DataFrame) -> DataFrame:
     return tokens.repartition("token").sortWithinPartitions("token", "n", "cls").mapInArrow(run, "token long, n long, cls long, leader long")
 
 
+def _prune(meeting: DataFrame, sketches: DataFrame, folder: str, percent: int) -> DataFrame:
+    """``token, n, cls, leader``: the classes that may link, by a key that all classes on a shingle share.
+
+    The key is the shingle's first class, so the many shingles of one passage are one key; where
+    that gathers more than ``SKETCH_RUN`` classes the shingles themselves stay keys. Within a key a
+    class needs another of fitting size and sketch. Where still more meet, all rows stay.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (token,), rows in _runs(batches, 1):
+            kept = np.flatnonzero(_may_link([r[3] for r in rows], np.array([r[0] for r in rows]), percent))
+            if len(kept):
+                cols = list(zip(*(rows[i][:3] for i in kept)))
+                yield pa.RecordBatch.from_arrays([pa.array([token] * len(kept), pa.int64()), *(pa.array(c, pa.int64()) for c in cols)], names=["token", "n", "cls", "leader"])
+
+    def fitting(rows: DataFrame) -> DataFrame:
+        order = Window.partitionBy("token").orderBy("n", "cls")
+        below, above = F.lag("n").over(order), F.lead("n").over(order)
+        rows = rows.withColumn("below", below).withColumn("above", above).where(f"100 * below >= {percent} * n or 100 * n >= {percent} * above")
+        return rows.drop("below", "above").withColumn("k", F.count(F.lit(1)).over(Window.partitionBy("token")))
+
+    led = materialise(meeting.select(F.col("leader").alias("token"), "n", "cls", "leader").distinct(), folder, "led")
+    wide = materialise(led.groupBy("leader").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > SKETCH_RUN).select("leader"), folder, "wide")
+    # wide leaders are few: each has thousands of rows
+    rows = led.join(wide, "leader", "left_anti").unionByName(meeting.join(wide, "leader", "left_semi").select("token", "n", "cls", "leader"))
+    runs = materialise(fitting(rows), folder, "runs")
+    small = runs.where(F.col("k") <= SKETCH_RUN).join(sketches, "cls").select("token", "n", "cls", "leader", "sketch")
+    schema = "token long, n long, cls long, leader long"
+    may = small.repartition("token").sortWithinPartitions("token", "n", "cls").mapInArrow(run, schema)
+    return materialise(may.unionByName(runs.where(F.col("k") > SKETCH_RUN).select("token", "n", "cls", "leader")), folder, "may-link")
+
+
 def _sets(texts: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     """``cls, n, tokens`` (binary) of the wanted classes, from a second look at the texts.
 
@@ -254,35 +327,50 @@ def _cluster(chunks: DataFrame, percent: int) -> DataFrame:
     return dealt.mapInArrow(run, "cls long, n long, cell long")
 
 
-def _open(pairs: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of cell pairs ``a, b`` those with a link between members."""
+def _open(pairs: DataFrame, members: DataFrame, sets: DataFrame, percent: int, share: int = 32) -> DataFrame:
+    """Of cell pairs ``a, b`` those with a link between members.
+
+    The larger cell of a pair is opened once for ``share`` others, which pass it one by one.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (a, b), rows in _runs(batches, 2):
-            one = [np.frombuffer(r[2], np.uint64) for r in rows if r[0] == 0]
-            two = [np.frombuffer(r[2], np.uint64) for r in rows if r[0] == 1]
-            if not one or not two:
-                continue
-            union = np.unique(np.concatenate(one)) if len(one) > 1 else one[0]
-            for q in two:
+        key, one, union, linked = None, [], None, None
+        for batch in batches:
+            found = []
+            for hub, salt, side, cell, tokens in zip(*(batch.column(i) for i in range(5))):
+                hub, salt, cell, q = hub.as_py(), salt.as_py(), cell.as_py(), np.frombuffer(tokens.as_py(), np.uint64)
+                if (hub, salt) != key:
+                    key, one, union, linked = (hub, salt), [], None, None
+                if side.as_py() == 0:
+                    one.append(q)
+                    continue
+                if cell == linked or not one:
+                    continue
+                if union is None:
+                    union = np.unique(np.concatenate(one)) if len(one) > 1 else one[0]
                 at = np.minimum(np.searchsorted(union, q), len(union) - 1)
                 if 100 * int((union[at] == q).sum()) < percent * len(q):
                     continue  # no set of the group can share enough with q
-                linked = False
                 for s in one:
                     if 100 * min(len(s), len(q)) >= percent * max(len(s), len(q)):
                         at = np.minimum(np.searchsorted(s, q), len(s) - 1)
                         both = int((s[at] == q).sum())
                         if 100 * both >= percent * (len(s) + len(q) - both):
-                            linked = True
+                            linked = cell
+                            found.append((hub, cell))
                             break
-                if linked:
-                    yield pa.RecordBatch.from_arrays([pa.array([a], pa.int64()), pa.array([b], pa.int64())], names=["a", "b"])
-                    break
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["a", "b"])
 
-    sides = pairs.select("a", "b", F.lit(0).alias("side"), F.col("a").alias("cell")).unionByName(pairs.select("a", "b", F.lit(1).alias("side"), F.col("b").alias("cell")))
-    rows = sides.join(members.select("cell", "cls"), "cell").join(sets, "cls").select("a", "b", "side", "cls", "tokens")
-    return rows.repartition("a", "b").sortWithinPartitions("a", "b", "side").mapInArrow(run, "a long, b long")
+    size = members.groupBy("cell").agg(F.count(F.lit(1)).alias("m"))
+    sized = pairs.join(size.select(F.col("cell").alias("a"), F.col("m").alias("ma")), "a").join(size.select(F.col("cell").alias("b"), F.col("m").alias("mb")), "b")
+    turned = F.col("mb") > F.col("ma")
+    sized = sized.select(F.when(turned, F.col("b")).otherwise(F.col("a")).alias("hub"), F.when(turned, F.col("a")).otherwise(F.col("b")).alias("cell"))
+    parts = sized.groupBy("hub").agg(F.expr(f"cast(ceil(count(1) / {share}) as long)").alias("parts"))
+    dealt = sized.join(parts, "hub").select("hub", F.pmod(F.xxhash64("cell"), F.col("parts")).alias("salt"), F.lit(1).alias("side"), "cell")
+    sides = dealt.unionByName(dealt.select("hub", "salt", F.lit(0).alias("side"), F.col("hub").alias("cell")).distinct())
+    rows = sides.join(members.select("cell", "cls"), "cell").join(sets, "cls").select("hub", "salt", "side", "cell", "tokens")
+    return rows.repartition("hub", "salt").sortWithinPartitions("hub", "salt", "side", "cell").mapInArrow(run, "a long, b long")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
@@ -316,6 +404,8 @@ def jaccard_components(
     found = materialise(_scan(texts, heavy, shingle, percent), folder, "prefixes")
     tokens = found.where(F.size("prefix") > 0).select(F.explode("prefix").alias("token"), "n", "cls")
     meeting = materialise(_meeting(tokens), folder, "meeting")
+    sketches = found.where(F.col("sketch").isNotNull()).groupBy("cls").agg(F.first("sketch").alias("sketch"))
+    meeting = _prune(meeting, sketches, folder, percent)
     label = _labels(texts, meeting, folder, shingle, percent, chunk_classes)
 
     ids = found.where("n > 0").groupBy("cls").agg(F.min("id").alias("least"))
