@@ -37,7 +37,8 @@ def link_quotes(
     lines of earlier turns of the conversation (the latest such turn counts; one sorted pass over
     (conversation, hash), no pairs). The turn that most lines point to, the later one in a tie, is
     the message replied to. A message without a resolved quotation replies to the turn before.
-    ``depth`` counts replies up to the first turn, found by pointer doubling; ``position`` numbers
+    ``depth`` counts replies up to the first turn: along runs of turns that answer the turn before by
+    position, between runs by pointer doubling over the runs' first turns that aren't settled yet; ``position`` numbers
     the conversation's turns by depth, then turn: every message comes after the one it answers.
 
     Null texts count as empty. Rows with a null conversation or turn are left out. Rows equal in
@@ -64,13 +65,26 @@ def link_quotes(
         F.when(F.col("origin").isNotNull(), "quote").when(F.col("before").isNotNull(), "previous").otherwise("start").alias("linked_by"),
     )
     nodes = materialise(nodes, folder, "nodes")
-    hops = nodes.select("c", "t", F.col("reply_to").alias("up"), F.when(F.col("reply_to").isNull(), 0).otherwise(1).cast("long").alias("depth"))
+    # turns that answer the turn before form runs; only the runs' heads need following upwards
+    order = Window.partitionBy("c").orderBy("t")
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    head = F.col("linked_by") != "previous"
+    runs = nodes.withColumn("rn", F.row_number().over(order)).select(
+        "c", "t", "reply_to", head.alias("is_head"), F.max(F.when(head, F.col("t"))).over(upto).alias("head"), (F.col("rn") - F.max(F.when(head, F.col("rn"))).over(upto)).cast("long").alias("off"),
+    )
+    runs = materialise(runs, folder, "runs")
+    target = runs.select("c", F.col("t").alias("reply_to"), F.col("head").alias("up"), (F.col("off") + 1).alias("depth"))
+    heads = runs.where("is_head").select("c", "head", "reply_to")
+    hops = heads.where("reply_to is not null").join(target, ["c", "reply_to"]).select("c", "head", "up", "depth")
+    hops = hops.unionByName(heads.where("reply_to is null").select("c", "head", F.lit(None).cast("long").alias("up"), F.lit(0).cast("long").alias("depth")))
     for k in range(64):
         hops = materialise(hops, folder, f"hops-{k}")
         if not hops.where("up is not null").limit(1).count():
             break
-        above = hops.select("c", F.col("t").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("depth2"))
-        hops = hops.join(above, ["c", "up"], "left").select("c", "t", F.col("up2").alias("up"), (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth"))
+        above = hops.select("c", F.col("head").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("depth2"))
+        moved = hops.where("up is not null").join(above, ["c", "up"]).select("c", "head", F.col("up2").alias("up"), (F.col("depth") + F.col("depth2")).alias("depth"))
+        hops = hops.where("up is null").unionByName(moved)
+    hops = runs.select("c", "t", "head", "off").join(hops.select("c", "head", "depth"), ["c", "head"]).select("c", "t", (F.col("depth") + F.col("off")).alias("depth"))
     placed = hops.select("c", "t", "depth", F.row_number().over(Window.partitionBy("c").orderBy("depth", "t")).cast("long").alias("position"))
     out = base.select("c", "t", "turn", "role", own_text(F.col("text")).alias("own")).join(nodes.join(placed, ["c", "t"]), ["c", "t"])
     return out.select(F.col("c").alias(conv_col), F.col("turn").alias(turn_col), F.col("role").alias(role_col), F.col("own").alias(text_col), "reply_to", "linked_by", "quoted_lines", "depth", "position")
