@@ -45,17 +45,16 @@ def _signature(s: np.ndarray) -> int:
     return int(mix(folded + np.uint64(len(s))).view(np.int64)[0])
 
 
-def _sketch(s: np.ndarray) -> bytes:
-    """A bit map of a power of two of bits, at least two a shingle; halves can be laid on each other."""
-    bits = 1 << max(6, (2 * len(s) - 1).bit_length())
+def _sketch(s: np.ndarray, share: int = 2) -> bytes:
+    """A bit map of a power of two of bits, at least ``share`` a shingle; halves can be laid on each other."""
+    bits = 1 << max(6, (share * len(s) - 1).bit_length())
     at = np.zeros(bits, bool)
     at[s & np.uint64(bits - 1)] = True
     return np.packbits(at, bitorder="little").tobytes()
 
 
-def _may_link(sketches: list[bytes], sizes: np.ndarray, percent: int) -> np.ndarray:
-    """Which of the sets can, by their sketches, link with another of them."""
-    out = np.zeros(len(sizes), bool)
+def _possible(sketches: list[bytes], sizes: np.ndarray, percent: int, done: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """For each set that isn't ``done`` the others that, by their sketches, can link with it."""
     width = np.array([len(x) for x in sketches])
     for w in np.unique(width).tolist():
         # sets that can link differ by less than a factor of two, so their maps do by one fold at most
@@ -67,14 +66,21 @@ def _may_link(sketches: list[bytes], sizes: np.ndarray, percent: int) -> np.ndar
             maps[k] = one if width[i] == w else one[: w // 8] | one[w // 8 :]
         todo = np.flatnonzero(width[mine] == w) if len(mine) > 1 else []
         for k in todo:
-            if out[mine[k]]:
+            if done[mine[k]]:
                 continue
             shared = np.minimum(n - np.bitwise_count(maps & ~maps[k]).sum(1, dtype=np.int64), n[k] - np.bitwise_count(maps[k] & ~maps).sum(1, dtype=np.int64))
             fits = 100 * shared >= percent * (n + n[k] - shared)
             fits[k] = False
             if fits.any():
-                out[mine[fits]] = True
-                out[mine[k]] = True
+                yield int(mine[k]), mine[fits]
+
+
+def _may_link(sketches: list[bytes], sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Which of the sets can, by their sketches, link with another of them."""
+    out = np.zeros(len(sizes), bool)
+    for i, others in _possible(sketches, sizes, percent, out):
+        out[others] = True
+        out[i] = True
     return out
 
 
@@ -373,6 +379,40 @@ def _open(pairs: DataFrame, members: DataFrame, sets: DataFrame, percent: int, s
     return rows.repartition("hub", "salt").sortWithinPartitions("hub", "salt", "side", "cell").mapInArrow(run, "a long, b long")
 
 
+def _apart_pairs(known: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: pairs of cells with a key in common that aren't connected yet and may link.
+
+    Of ``known(token, cell, lo, hi, comp)``. Only pairs that finer sketches of their members let
+    pass are given out; a key with more than ``SKETCH_RUN`` members gives all pairs of fitting size.
+    """
+
+    def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [_sketch(np.frombuffer(x.as_py(), np.uint64), 8) for x in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())], names=["cls", "n", "sketch"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in _runs(batches, 1):
+            cell, comp, sizes = (np.array([r[i] for r in rows]) for i in range(3))
+            pairs = set()
+            for i, others in _possible([r[3] for r in rows], sizes, percent, np.zeros(len(rows), bool)):
+                for c in cell[others[comp[others] != comp[i]]].tolist():
+                    pairs.add((min(c, int(cell[i])), max(c, int(cell[i]))))
+            if pairs:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*sorted(pairs))], names=["a", "b"])
+
+    held = known.join(members.groupBy("cell").agg(F.count(F.lit(1)).alias("m")), "cell").groupBy("token").agg(F.sum("m").alias("k"))
+    sized = known.join(held, "token")
+    maps = sets.select("cls", "n", "tokens").mapInArrow(sketched, "cls long, n long, sketch binary")
+    small = sized.where(F.col("k") <= SKETCH_RUN).join(members.select("cell", "cls"), "cell").join(maps, "cls").select("token", "cell", "comp", "n", "sketch")
+    near = small.repartition("token").sortWithinPartitions("token", "n", "cell").mapInArrow(run, "a long, b long")
+    wide = sized.where(F.col("k") > SKETCH_RUN)
+    left, right = wide.alias("l"), wide.alias("r")
+    fits = lambda a, b: F.col(f"{a}.hi") * 100 >= F.col(f"{b}.lo") * percent
+    every = left.join(right, (F.col("l.token") == F.col("r.token")) & (F.col("l.cell") < F.col("r.cell")) & (F.col("l.comp") != F.col("r.comp")) & fits("l", "r") & fits("r", "l"))
+    return near.unionByName(every.select(F.col("l.cell").alias("a"), F.col("r.cell").alias("b"))).distinct()
+
+
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The rows of ``docs``, all columns as they are, whose document is its component's smallest.
 
@@ -446,9 +486,7 @@ def _labels(texts: DataFrame, meeting: DataFrame, folder: str, shingle: int, per
     known = matrix.select("token", "cell", "lo", "hi").join(cells, "cell")
     apart = known.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("token")
     known = materialise(known.join(apart, "token", "left_semi"), folder, "apart")
-    left, right = known.alias("l"), known.alias("r")
-    rest = left.join(right, (F.col("l.token") == F.col("r.token")) & (F.col("l.cell") < F.col("r.cell")) & (F.col("l.comp") != F.col("r.comp")) & fits("l", "r"))
-    rest = rest.select(F.col("l.cell").alias("a"), F.col("r.cell").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
+    rest = _apart_pairs(known, members, sets, percent).join(star, ["a", "b"], "left_anti")
     more = materialise(_open(rest, members, sets, percent), folder, "rest-links")
     if more.limit(1).count():
         ends = more.join(cells.select(F.col("cell").alias("a"), F.col("comp").alias("ca")), "a").join(cells.select(F.col("cell").alias("b"), F.col("comp").alias("cb")), "b")
