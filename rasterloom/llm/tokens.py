@@ -9,15 +9,19 @@ whole, so ids are always the library's.
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from .common import string_bytes
+
 #: Unicode white space next to a space: there a space need not begin a token of its own.
 _WS = r"[\t\n\x0b\x0c\r \x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _UNSURE = rf"(?:^ | $|{_WS} | {_WS})"
 _SEPARATOR = "\x01"
+_LETTERS = re.compile("[A-Za-z]+").fullmatch
 
 
 class WordEncoder:
@@ -40,8 +44,16 @@ class WordEncoder:
         if self.spaced:
             self.opens = np.array([(tok.id_to_token(i) or "").startswith("Ġ") for i in range(tok.get_vocab_size())])
         else:
+            self.closes = np.array([(tok.id_to_token(i) or "").endswith("</w>") for i in range(tok.get_vocab_size())])
             mark = tok.encode(_SEPARATOR, add_special_tokens=False).ids
             self.mark = mark[0] if len(mark) == 1 else None
+        plain = lambda x: tok.encode(x, add_special_tokens=False).ids
+        self.folds = plain("AbZ") == plain("abz")
+        #: ids of marks that are tokens of their own after a letter or digit, else -1
+        self.tails = np.full(256, -1, np.int32)
+        for c in ".,;:!?":
+            if len(plain(c)) == 1 and all(plain(w + c) == plain(w) + plain(c) for w in ("q", "zq", "7", "word", " word")):
+                self.tails[ord(c)] = plain(c)[0]
         self._forget()
 
     def _forget(self) -> None:
@@ -53,12 +65,47 @@ class WordEncoder:
     def _plain(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, words: list[str]) -> None:
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """ids of distinct words in one pool, and where each word's lie in it.
+
+        A word is looked up by its lower-case form (where the tokenizer folds) without a mark at its end.
+        """
+        base = pc.ascii_lower(words) if self.folds else words
+        marked = np.asarray(pc.match_substring_regex(base, "[A-Za-z0-9][.,;:!?]$"))
+        data, offsets = string_bytes(base)
+        last = np.zeros(len(words), np.int64)
+        last[marked] = data[offsets[1:][marked] - 1]
+        marked &= self.tails[last] >= 0
+        bare = pc.if_else(pa.array(marked), pc.utf8_slice_codeunits(base, 0, -1), base).dictionary_encode()
+        bases = bare.dictionary.to_pylist()
+        if len(self.known) + len(bases) > self.memory:
+            self._forget()
+        known = self.known
+        missing = [w for w in bases if w not in known]
+        if missing:
+            self._encode_words(missing)
+        at = np.array([known[w] for w in bases], np.int64)[np.asarray(bare.indices)] if bases else np.zeros(0, np.int64)
+        stem = self.length[at]
+        length = stem + marked
+        begin, first = np.cumsum(length) - length, np.cumsum(stem) - stem
+        pool, every = np.empty(length.sum(), np.int32), np.arange(stem.sum())
+        pool[np.repeat(begin - first, stem) + every] = self.ids[np.repeat(self.start[at] - first, stem) + every]
+        pool[(begin + stem)[marked]] = self.tails[last[marked]]
+        return pool, begin, length
+
+    def _encode_words(self, words: list[str]) -> None:
         if self.spaced:
             chunks = ["".join([" " + w for w in words[i : i + 1000]]) for i in range(0, len(words), 1000)]
             ids = np.concatenate([np.array(x, np.int32) for x in self._plain(chunks)])
             at = np.flatnonzero(self.opens[ids])
             length = np.diff(np.append(at, len(ids)))
+        elif all(map(_LETTERS, words)):  # a word of letters ends at the one token that closes it
+            chunks = [" ".join(words[i : i + 1000]) for i in range(0, len(words), 1000)]
+            ids = np.concatenate([np.array(x, np.int32) for x in self._plain(chunks)])
+            length = np.diff(np.concatenate(([-1], np.flatnonzero(self.closes[ids]))))
+        elif any(map(_LETTERS, words)):
+            self._encode_words([w for w in words if _LETTERS(w)])
+            return self._encode_words([w for w in words if not _LETTERS(w)])
         elif self.mark is not None and not any(_SEPARATOR in w for w in words):
             join = f" {_SEPARATOR} ".join
             chunks = [join(words[i : i + 1000]) + f" {_SEPARATOR}" for i in range(0, len(words), 1000)]
@@ -86,15 +133,8 @@ class WordEncoder:
         bounds = np.asarray(lists.offsets, dtype=np.int64)
         flat = lists.flatten().dictionary_encode()
         code = np.asarray(flat.indices)
-        words = flat.dictionary.to_pylist()
-        if len(self.known) + len(words) > self.memory:
-            self._forget()
-        known = self.known
-        missing = [w for w in words if w not in known]
-        if missing:
-            self._learn(missing)
-        at = np.array([known[w] for w in words], np.int64)[code]
-        start, length, pool = self.start[at], self.length[at], self.ids
+        pool, start, length = self._words(flat.dictionary)
+        start, length = start[code], length[code]
         bounds = bounds - bounds[0]
         if self.spaced:  # the first word of a text has no space before it
             head = bounds[:-1]
