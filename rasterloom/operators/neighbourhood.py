@@ -31,9 +31,9 @@ def local_entropy(pixels: DataFrame, level: Column, window: int = 9, levels: int
         patch = np.zeros((y.max() - oy + 1, x.max() - ox + 1), np.int64)
         patch[y - oy, x - ox] = frame["level"].to_numpy()
         own = (y // block == key[1]) & (x // block == key[2])
+        if not own.any():  # a margin without a block
+            return frame.iloc[:0][[by, "y", "x"]].assign(entropy=0.0)
         y, x = y[own], x[own]
-        if not len(y):
-            return pd.DataFrame({by: [], "y": [], "x": [], "entropy": []})
         wide = np.pad(patch, half, mode="edge")
         out = np.zeros(len(y))
         for b in range(levels):
