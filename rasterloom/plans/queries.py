@@ -15,7 +15,6 @@ from ..functions import parsing, pixel
 from ..operators import components, gate, grid, neighbourhood, pyramid, scoring, stain, stats
 from ..operators.background import detect_background
 from ..operators.grid import Grid
-from ..scratch import materialise, shared_dir
 from ..sources.raster import embedding_raster, synthetic_raster
 from . import oracle
 from .segment import segment
