@@ -107,13 +107,18 @@ def _concentrations(densities: DataFrame) -> DataFrame:
     return densities.withColumns({"_e": pixel.concentration(d, row("e_idx")), "_h": pixel.concentration(d, row("h_idx")), "_od": pixel.mean_density(d)})
 
 
-def stain_params(pixels: DataFrame, background: str = "background", io: float | None = None, by: str = "slide_id") -> DataFrame:
+def stain_params(pixels: DataFrame, background: str = "background", io: float | DataFrame | None = None, by: str = "slide_id") -> DataFrame:
     """A row a slide: ``by, io, stains, inverse, e_idx, h_idx, e_lo, e_hi, h_lo, h_hi, od_lo, od_hi``.
 
-    ``io`` is measured on the background unless given. The 1st and 99th percentiles cover all
+    ``io`` is measured on the background unless given, as a number or a table ``by, io``. The 1st and 99th percentiles cover all
     pixels, background too; a stain without range gets 0 to 1.
     """
-    light = pixels.select(by).distinct().withColumn("io", F.lit(float(io))) if io is not None else background_intensity(pixels, background, by)
+    if io is None:
+        light = background_intensity(pixels, background, by)
+    elif isinstance(io, DataFrame):
+        light = io.select(by, "io")
+    else:
+        light = pixels.select(by).distinct().withColumn("io", F.lit(float(io)))
     light = materialise(light, shared_dir(pixels.sparkSession), "io")
     dense = with_density(with_slide(pixels.select(by, "r", "g", "b", F.coalesce(F.col(background), F.lit(False)).alias("_back")), light, by))
     vectors = materialise(stain_vectors(dense, ~F.col("_back"), by=by), shared_dir(pixels.sparkSession), "vectors")

@@ -18,6 +18,14 @@ def preprocess(pixels: DataFrame, by: str = "slide_id", **options) -> DataFrame:
     return image.join(marked.select(by, "y", "x", (~F.col("background")).alias("tissue")), [by, "y", "x"])
 
 
+def label_image(image: DataFrame, scorer: scoring.Scorer, roi: int = 512, overlap: float = 0.25, apply_tissue_mask: bool = True, by: str = "slide_id") -> DataFrame:
+    """``by, y, x, label`` of what ``preprocess`` gives (stored, since it is read several times)."""
+    size = materialise(image.groupBy(by).agg((F.max("y") + 1).alias("_h"), (F.max("x") + 1).alias("_w")), shared_dir(image.sparkSession), "size")
+    channels = stats.with_slide(stats.normalise(image.select(by, "y", "x", "e", "h", "od"), ["e", "h", "od"], by), size, by)
+    logits = scoring.score_windows(channels, ["e", "h", "od"], scorer, roi, overlap, height="_h", width="_w", by=by)
+    return scoring.labels(logits, image if apply_tissue_mask else None, by)
+
+
 def segment(
     pixels: DataFrame, scorer: scoring.Scorer, roi: int = 512, overlap: float = 0.25, apply_tissue_mask: bool = True, output_size: tuple[int, int] | None = None, by: str = "slide_id",
 ) -> DataFrame:
@@ -27,10 +35,8 @@ def segment(
     what is no tissue to 0; ``output_size`` (height, width) resizes the labels, nearest pixel.
     """
     ready = materialise(preprocess(pixels, by), shared_dir(pixels.sparkSession), "ready")
-    size = materialise(ready.groupBy(by).agg((F.max("y") + 1).alias("h"), (F.max("x") + 1).alias("w")), shared_dir(pixels.sparkSession), "size")
-    image = stats.with_slide(stats.normalise(ready.select(by, "y", "x", "e", "h", "od"), ["e", "h", "od"], by).withColumnRenamed("h", "hx"), size, by)
-    logits = scoring.score_windows(image, ["e", "hx", "od"], scorer, roi, overlap, by=by)
-    found = scoring.labels(logits, ready if apply_tissue_mask else None, by)
+    found = label_image(ready, scorer, roi, overlap, apply_tissue_mask, by)
     if output_size is None:
         return found
+    size = ready.groupBy(by).agg((F.max("y") + 1).alias("h"), (F.max("x") + 1).alias("w"))
     return nearest_resize(stats.with_slide(found, size, by), ["label"], F.col("h"), F.col("w"), F.lit(output_size[0]), F.lit(output_size[1]), by)

@@ -123,6 +123,37 @@ def read_region(spark: SparkSession, path: str, slide_id: str, level_idx: int, y
     return domain.join(wide, ["y", "x"], "left").select(F.lit(slide_id).alias("slide_id"), "y", "x", *[F.coalesce(c, F.lit(255)).alias(c) for c in channels])
 
 
+def read_levels(spark: SparkSession, path: str, wanted: DataFrame, channels: Sequence[str] = ("r", "g", "b"), limit: int = 100_000) -> DataFrame:
+    """``slide_id, y, x, channels`` of one level of each slide of ``wanted(slide_id, level_idx, size_y, size_x)``.
+
+    Slides and levels prune folders. A tile's channels meet before they are unpacked, so packed
+    bytes are shuffled rather than pixels. What the store doesn't have is white; slides whose tiles
+    cover the level, by their sizes, need no join for that.
+    """
+    level = wanted.select("slide_id", "level_idx")
+    level = F.broadcast(level) if level.limit(limit + 1).count() <= limit else level
+    stored = spark.read.schema(TILES).parquet(path).where(F.col("channel").isin(list(range(len(channels))))).join(level, ["slide_id", "level_idx"])
+    place = ["slide_id", "oy0", "ox0", "oh", "ow"]
+    schema = "slide_id string, y int, x int, " + ", ".join(f"{c} int" for c in channels)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            for r in f.itertuples(index=False):
+                body = np.full((len(channels), r.oh * r.ow), 255, np.int32)
+                for part in r.parts:
+                    body[part["channel"]] = np.frombuffer(part["pixels"], np.uint8)
+                y, x = np.divmod(np.arange(r.oh * r.ow), r.ow)
+                yield pd.DataFrame({"slide_id": r.slide_id, "y": y + r.oy0, "x": x + r.ox0, **dict(zip(channels, body))})
+
+    tiles = stored.groupBy(*place).agg(F.collect_list(F.struct("channel", "pixels")).alias("parts"))  # a part a channel
+    found = tiles.mapInPandas(run, schema)
+    area = stored.select(*place).distinct().groupBy("slide_id").agg(F.sum(F.col("oh").cast("long") * F.col("ow")).alias("_area"))
+    short = wanted.join(area, "slide_id", "left").where("coalesce(_area, 0) < cast(size_y as long) * size_x and size_y > 0 and size_x > 0")
+    domain = short.withColumn("y", F.explode(F.sequence(F.lit(0), F.col("size_y") - 1))).withColumn("x", F.explode(F.sequence(F.lit(0), F.col("size_x") - 1)))
+    holes = domain.select("slide_id", "y", "x").join(found.select("slide_id", "y", "x"), ["slide_id", "y", "x"], "left_anti")
+    return found.unionByName(holes.select("slide_id", "y", "x", *[F.lit(255).alias(c) for c in channels]))
+
+
 def read_thumbnail(spark: SparkSession, path: str, levels: DataFrame, slide_id: str, least: int = 2000) -> DataFrame:
     """The coarsest level with an edge of ``least`` pixels, whole; an unknown slide is an error."""
     mine = levels.where(F.col("slide_id") == slide_id)
