@@ -1,8 +1,10 @@
 """The ways from stored images to stored labels, on small made-up slides."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
+from rasterloom import __main__ as command
 from rasterloom.operators import scoring
 from rasterloom.plans import infer
 from rasterloom.sources import raster as sources
@@ -76,3 +78,16 @@ def test_resolution_of_the_placeholder(spark, tmp_path):
     write_ppm(tmp_path / "in/a", slide(20, 20))
     out = infer.segment_images(spark, str(tmp_path / "in/*"), str(tmp_path / "out"), scoring.placeholder_scorer, mpp=1.0, roi=16, apply_tissue_mask=False)
     assert out.count() == 400 and {r[0] for r in out.select("label").distinct().collect()} <= {0, 1, 2}
+
+
+def test_command_line(spark, tmp_path, capsys):
+    (tmp_path / "in").mkdir()
+    write_ppm(tmp_path / "in/a", slide(20, 20))
+    command.main(["images", "--input", str(tmp_path / "in/*"), "--output", str(tmp_path / "out"), "--scorer", "rasterloom.operators.scoring:placeholder_scorer", "--mpp", "2", "--roi", "64"])
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 400
+    (tmp_path / "s.csv").write_text("t,proc_cpu_pct,proc_rss_bytes,system_cpu_pct,gpu_util_pct,gpu_mem_mib\n0,1,10,,,\n1,3,20,5,,\n")
+    command.main(["metrics", "--input", str(tmp_path / "s.csv"), "--output", str(tmp_path / "json")])
+    got = {r["metric"]: (r["min"], r["avg"], r["median"], r["max"]) for r in spark.read.schema("metric string, min double, avg double, median double, max double").json(str(tmp_path / "json")).collect()}
+    assert got["proc_cpu_pct"] == (1, 2, 2, 3) and got["system_cpu_pct"] == (5, 5, 5, 5) and got["gpu_mem_mib"] == (None,) * 4
+    with pytest.raises(SystemExit):
+        command.parser().parse_args(["images", "--input", "a", "--output", "b", "--scorer", "nothing"])
