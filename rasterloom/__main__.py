@@ -17,8 +17,8 @@ from .plans import infer
 
 LEVELS = "slide_id string, level_idx int, size_x int, size_y int, mpp_x double, mpp_y double"
 #: Columns of a table of resource samples.
-METRICS = ("proc_cpu_pct", "proc_rss_bytes", "system_cpu_pct", "gpu_util_pct", "gpu_mem_mib")
-SAMPLES = "t double, " + ", ".join(f"{m} double" for m in METRICS)
+METRICS = ("proc_cpu_pct", "proc_rss_bytes", "system_cpu_pct", "gpu_util_pct", "gpu_mem_used_mib")
+SAMPLES = "t double, " + ", ".join(f"{m} double" for m in METRICS) + ", gpu_mem_total_mib double, mac_gpu_model string, mac_gpu_vram_mib double, mac_process_uses_metal boolean"
 
 
 def scorer(name: str) -> scoring.Scorer:

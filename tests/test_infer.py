@@ -85,9 +85,9 @@ def test_command_line(spark, tmp_path, capsys):
     write_ppm(tmp_path / "in/a", slide(20, 20))
     command.main(["images", "--input", str(tmp_path / "in/*"), "--output", str(tmp_path / "out"), "--scorer", "rasterloom.operators.scoring:placeholder_scorer", "--mpp", "2", "--roi", "64"])
     assert spark.read.parquet(str(tmp_path / "out")).count() == 400
-    (tmp_path / "s.csv").write_text("t,proc_cpu_pct,proc_rss_bytes,system_cpu_pct,gpu_util_pct,gpu_mem_mib\n0,1,10,,,\n1,3,20,5,,\n")
+    (tmp_path / "s.csv").write_text("t,proc_cpu_pct,proc_rss_bytes,system_cpu_pct,gpu_util_pct,gpu_mem_used_mib,gpu_mem_total_mib,mac_gpu_model,mac_gpu_vram_mib,mac_process_uses_metal\n0,1,10,,,,,,,\n1,3,20,5,,,,a model,,True\n")
     command.main(["metrics", "--input", str(tmp_path / "s.csv"), "--output", str(tmp_path / "json")])
     got = {r["metric"]: (r["min"], r["avg"], r["median"], r["max"]) for r in spark.read.schema("metric string, min double, avg double, median double, max double").json(str(tmp_path / "json")).collect()}
-    assert got["proc_cpu_pct"] == (1, 2, 2, 3) and got["system_cpu_pct"] == (5, 5, 5, 5) and got["gpu_mem_mib"] == (None,) * 4
+    assert got["proc_cpu_pct"] == (1, 2, 2, 3) and got["system_cpu_pct"] == (5, 5, 5, 5) and got["gpu_mem_used_mib"] == (None,) * 4
     with pytest.raises(SystemExit):
         command.parser().parse_args(["images", "--input", "a", "--output", "b", "--scorer", "nothing"])
