@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from .common import materialise, shared_dir
 
-BUCKET_BITS, KEY_BITS = 12, 60
+KEY_BITS = 60
+#: Each round looks closer at the one bucket of keys in which a leaf's tokens run out.
+BUCKET_BITS = (12, 24)
 #: Leaves up to which the plan (a row a leaf) is broadcast; more are joined by a shuffle.
 BROADCAST_LEAVES = 50_000
 
@@ -68,26 +70,35 @@ def budgets(leaves: DataFrame, levels: Sequence[str], weights: Mapping[str, Mapp
     return leaves.join(known.withColumnRenamed("parent_budget", "budget"), list(levels))
 
 
+def _bucket(key: Column, bits: int) -> Column:
+    return F.shiftright(key, KEY_BITS - bits).cast("int")
+
+
 def plan(sizes: DataFrame, levels: Sequence[str], weights: Mapping[str, Mapping[str, int]], total: int, max_epochs: int, seed: int) -> DataFrame:
-    """A row a leaf: ``levels, whole, rest, cut, base``.
+    """A row a leaf: ``levels, available, budget, whole, rest, cut, base``.
 
     Every document of the leaf is taken ``whole`` times; in the epoch after those, documents in
     key order until ``rest`` tokens are used. ``cut`` is the key bucket in which that happens and
-    ``base`` the tokens before it, from a histogram of 4096 buckets a leaf: only documents in that
-    one bucket have to be sorted, so a leaf with a third of all rows needs no long sort.
-    ``sizes`` holds ``id, levels, n``.
+    ``base`` the tokens before it, from a histogram of 4096 buckets a leaf and a second one of
+    4096 parts of the bucket that it finds: only documents in that one part, a leaf's 1/2**24, have
+    to be sorted, so a leaf with a third of all rows needs no long sort. ``sizes`` holds ``id,
+    levels, n``.
     """
+    spark, names = sizes.sparkSession, list(levels)
     leaves = sizes.groupBy(*levels).agg(F.sum("n").alias("available"))
     got = budgets(leaves, levels, weights, total, max_epochs)
     got = got.withColumn("whole", F.when(F.col("available") > 0, F.expr("budget div available")).otherwise(F.lit(0).cast("long")))
-    got = got.withColumn("rest", F.col("budget") - F.col("whole") * F.col("available"))
-    got = materialise(got, shared_dir(sizes.sparkSession), "budgets")
-    bucket = F.shiftright(epoch_key(F.col("id"), F.col("whole"), seed), KEY_BITS - BUCKET_BITS).cast("int")
-    filled = join_plan(sizes, got, levels).groupBy(*levels, bucket.alias("bucket")).agg(F.sum("n").alias("n"), F.max("rest").alias("rest"))
-    upto = F.sum("n").over(Window.partitionBy(*levels).orderBy("bucket"))
-    over = filled.withColumn("upto", upto).where(F.col("upto") > F.col("rest")).groupBy(*levels).agg(F.min(F.struct("bucket", (F.col("upto") - F.col("n")).alias("base"))).alias("c"))
-    out = got.join(over, list(levels), "left")
-    return out.select(*levels, "available", "budget", "whole", "rest", F.coalesce("c.bucket", F.lit(1 << BUCKET_BITS)).alias("cut"), F.coalesce("c.base", F.lit(0)).alias("base"))
+    got = got.withColumn("rest", F.col("budget") - F.col("whole") * F.col("available")).withColumns({"cut": F.lit(0), "base": F.lit(0).cast("long")})
+    got = materialise(got, shared_dir(spark), "budgets")
+    known = 0  # of no bits there is one bucket, with all keys
+    for bits in BUCKET_BITS:
+        keyed = join_plan(sizes, got, levels).withColumn("key", epoch_key(F.col("id"), F.col("whole"), seed)).where(_bucket(F.col("key"), known) == F.col("cut"))
+        filled = keyed.groupBy(*levels, _bucket(F.col("key"), bits).alias("bucket")).agg(F.sum("n").alias("n"), F.max("rest").alias("rest"), F.max("base").alias("base"))
+        upto = F.col("base") + F.sum("n").over(Window.partitionBy(*levels).orderBy("bucket"))
+        over = filled.withColumn("upto", upto).where(F.col("upto") > F.col("rest")).groupBy(*levels).agg(F.min(F.struct("bucket", (F.col("upto") - F.col("n")).alias("base"))).alias("c"))
+        found = got.drop("cut", "base").join(over, names, "left").withColumns({"cut": F.coalesce("c.bucket", F.lit(1 << bits)), "base": F.coalesce("c.base", F.lit(0).cast("long"))})
+        got, known = materialise(found.drop("c"), shared_dir(spark), f"cut-{bits}"), bits
+    return got
 
 
 def join_plan(rows: DataFrame, leaves: DataFrame, levels: Sequence[str]) -> DataFrame:
@@ -98,7 +109,7 @@ def join_plan(rows: DataFrame, leaves: DataFrame, levels: Sequence[str]) -> Data
 def _copies(rows: DataFrame, leaves: DataFrame, levels: Sequence[str], seed: int, size: Column) -> DataFrame:
     """``rows(id, levels, ...)`` with ``copies``; ``size`` is evaluated in the cut buckets only."""
     keyed = join_plan(rows, leaves, levels).withColumn("key", epoch_key(F.col("id"), F.col("whole"), seed))
-    keyed = keyed.withColumn("bucket", F.shiftright("key", KEY_BITS - BUCKET_BITS).cast("int"))
+    keyed = keyed.withColumn("bucket", _bucket(F.col("key"), BUCKET_BITS[-1]))
     clear = keyed.where("bucket <> cut").withColumn("copies", F.col("whole") + (F.col("bucket") < F.col("cut")).cast("long"))
     near = keyed.where("bucket = cut").withColumn("n", size)
     used = F.col("base") + F.sum("n").over(Window.partitionBy(*levels).orderBy("key"))  # equal keys count together
@@ -124,7 +135,6 @@ def mix_report(
     rows = materialise(rows, shared_dir(docs.sparkSession), "sizes")
     total = rows.agg(F.sum("n")).first()[0] or 0
     leaves = plan(rows, list(levels), weights, int(total * share), max_epochs, seed)
-    leaves = materialise(leaves, shared_dir(docs.sparkSession), "plan")
     out = _copies(rows.withColumnRenamed("n", "n_tokens"), leaves, list(levels), seed, F.col("n_tokens"))
     return out.select(F.col("id").alias(id_col), *levels, "n_tokens", "copies")
 
@@ -142,7 +152,7 @@ def mix(
     folder = shared_dir(docs.sparkSession)
     sizes = materialise(docs.select(F.col(id_col).alias("id"), *_levels(inner), words(F.col(text_col)).alias("n")), folder, "sizes")
     total = sizes.agg(F.sum("n")).first()[0] or 0
-    leaves = materialise(plan(sizes, list(inner), inner_weights, int(total * share), max_epochs, seed), folder, "plan")
+    leaves = plan(sizes, list(inner), inner_weights, int(total * share), max_epochs, seed)
     rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col(id_col).alias("id"), *_levels(inner))
     out = _copies(rows, leaves, list(inner), seed, words(F.col(f"_row.{text_col}")))
     taken = out.where("copies > 0").select(F.explode(F.expr("array_repeat(_row, cast(copies as int))")).alias("_row"))

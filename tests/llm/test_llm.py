@@ -313,6 +313,16 @@ def test_mixing_shares_shortage_among_siblings(spark, none, docs):
     assert mixing.mix_report(docs, queries.tree(), {"lang": queries.LANGUAGE_WEIGHTS}).count() == 10
 
 
+@pytest.mark.parametrize("bits", [(1,), (1, 3), (4, 30)])
+def test_mixing_does_not_depend_on_its_buckets(spark, monkeypatch, bits):
+    """Coarse buckets leave much to sort, fine ones nothing; the selection is the same."""
+    df = spark.createDataFrame([(i, "w " * (i % 9), "en", f"s{i % 3}", 0) for i in range(400)], DOCS)
+    select = lambda: rows(mixing.mix_report(df, {"source": F.col("source")}, {"source": {"s0": 5}}, share=0.6))
+    want = select()
+    monkeypatch.setattr(mixing, "BUCKET_BITS", bits)
+    assert select() == want and any("('copies', 1)" in r for r in want) and any("('copies', 0)" in r for r in want)
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     for name, stage in corpus_pipeline.STAGES[:-1]:
