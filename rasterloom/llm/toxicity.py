@@ -119,7 +119,8 @@ def fit(
     sizes = {r["_y"]: r["n"] for r in usable.groupBy("_y").agg(F.count(F.lit(1)).alias("n")).collect()}
     share = {y: min(1.0, max_rows / 2 / n) for y, n in sizes.items()}
     draw = F.pmod(F.xxhash64("_id", F.lit(seed)), F.lit(1_000_000)) / 1e6
-    picked = usable.where(F.when(F.col("_y") == 1, draw < share.get(1, 0.0)).otherwise(draw < share.get(0, 0.0))).limit(max_rows)
+    chosen = usable.where(F.when(F.col("_y") == 1, draw < share.get(1, 0.0)).otherwise(draw < share.get(0, 0.0)))
+    picked = chosen.orderBy(draw, "_id").limit(max_rows)  # the same rows however the table is dealt
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
