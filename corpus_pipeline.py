@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from rasterloom.llm import dedup, jaccard, mixing, packing, toxicity
-from rasterloom.llm.common import materialise, shared_dir
 from rasterloom.llm.queries import LANGUAGE_WEIGHTS, table, tree, vocabulary
+from rasterloom.scratch import materialise, shared_dir
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,32 +1,11 @@
-"""Shared helpers: scratch tables in the cluster's shared folder, and vectorised word hashing."""
+"""Shared helpers: vectorised word hashing."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """A new folder below ``spark.checkpoint.dir``; a temporary one only where that is unset (tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="rasterloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/rasterloom-{uuid.uuid4().hex}"
-
-
-def materialise(df: DataFrame, folder: str, name: str) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it back: lineage ends here."""
-    spark = df.sparkSession
-    path = f"{folder}/{name}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
 
 
 def as_strings(batch: pa.RecordBatch, name: str) -> pa.Array:
@@ -139,31 +118,3 @@ def shingle_sets(strings: pa.Array, size: int = 5) -> Iterator[np.ndarray]:
             yield mix(one + np.uint64(b - a))
         else:
             yield np.zeros(0, np.uint64)
-
-
-def components(edges: DataFrame, folder: str, name: str) -> DataFrame:
-    """Connected components of ``edges(a, b)``: a row ``(node, root)`` for each node on an edge.
-
-    Alternating large-star and small-star contraction (Kiveris et al., 2014): each round is two
-    grouped minima, the number of rounds is logarithmic, and no group is gathered. ``root`` is the
-    smallest node of the component.
-    """
-    current = materialise(
-        edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), folder, f"{name}-0"
-    )
-    seen = None
-    for k in range(1, 64):
-        both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low2 = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(low2, "u")
-        small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(low2.select("u", F.col("m").alias("v")))
-        current = materialise(small.where("u > v").distinct(), folder, f"{name}-{k}")
-        now = current.agg(F.count(F.lit(1)), F.sum(F.hash("u", "v").cast("long")), F.sum(F.col("v").cast("decimal(38,0)"))).first()
-        if tuple(now) == seen:
-            break
-        seen = tuple(now)
-    else:
-        raise RuntimeError("components did not settle in 64 rounds")
-    return current.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(current.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

@@ -30,7 +30,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import as_strings, by_bytes, components, materialise, mix, shared_dir, shingle_sets
+from ..operators.graph import components
+from ..scratch import materialise, shared_dir
+from .common import as_strings, by_bytes, mix, shingle_sets
 
 HEAVY_LIMIT = 1 << 20
 FILTER_BITS = 23

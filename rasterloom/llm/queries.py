@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scratch import shared_dir
 from . import ann, dedup, jaccard, licenses, mixing, orc_tokens, packing, quotes, toxicity, warc
-from .common import shared_dir
 
 LANGUAGE_WEIGHTS = {"en": 4, "de": 2, "fr": 2, "es": 1}
 
