@@ -56,7 +56,11 @@ def _sketch(s: np.ndarray, share: int = 2) -> bytes:
 
 
 def _possible(sketches: list[bytes], sizes: np.ndarray, percent: int, done: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """For each set that isn't ``done`` the others that, by their sketches, can link with it."""
+    """For each set the others that, by their sketches, can link with it.
+
+    A set that is ``done`` is held only against sets of the next width that aren't: they meet it in
+    no other round, while sets of its own width have their own turn.
+    """
     width = np.array([len(x) for x in sketches])
     for w in np.unique(width).tolist():
         # sets that can link differ by less than a factor of two, so their maps do by one fold at most
@@ -67,14 +71,18 @@ def _possible(sketches: list[bytes], sizes: np.ndarray, percent: int, done: np.n
             one = np.frombuffer(sketches[i], np.uint64)
             maps[k] = one if width[i] == w else one[: w // 8] | one[w // 8 :]
         todo = np.flatnonzero(width[mine] == w) if len(mine) > 1 else []
+        wider = np.flatnonzero(width[mine] == 2 * w)
         for k in todo:
+            at = np.arange(len(mine))
             if done[mine[k]]:
-                continue
-            shared = np.minimum(n - np.bitwise_count(maps & ~maps[k]).sum(1, dtype=np.int64), n[k] - np.bitwise_count(maps[k] & ~maps).sum(1, dtype=np.int64))
-            fits = 100 * shared >= percent * (n + n[k] - shared)
-            fits[k] = False
+                at = wider = wider[~done[mine[wider]]]
+                if not len(at):
+                    continue
+            theirs, m = maps[at], n[at]
+            shared = np.minimum(m - np.bitwise_count(theirs & ~maps[k]).sum(1, dtype=np.int64), n[k] - np.bitwise_count(maps[k] & ~theirs).sum(1, dtype=np.int64))
+            fits = (100 * shared >= percent * (m + n[k] - shared)) & (at != k)
             if fits.any():
-                yield int(mine[k]), mine[fits]
+                yield int(mine[k]), mine[at[fits]]
 
 
 def _may_link(sketches: list[bytes], sizes: np.ndarray, percent: int) -> np.ndarray:

@@ -106,6 +106,20 @@ def test_jaccard_when_many_meet(spark, monkeypatch):
     assert {r["doc_id"]: r["component_id"] for r in got} == brute_components(pairs)
 
 
+def test_jaccard_links_across_sketch_widths(spark):
+    """Of three nested sets the middle one links with both others, the widest by another sketch width."""
+    pairs, prefix = [], "abcdefghijklmnopqrstuvwxyz"
+    for family in range(40):
+        base = [f"{prefix[family % 26]}{family}x{k}" for k in range(79)]
+        pairs += [(3 * family + k, " ".join(base[:n])) for k, n in enumerate((54, 64, 79))]
+    sets = [np.sort(np.random.default_rng(s).integers(0, 2**63, 75).astype(np.uint64)) for s in range(20)]
+    for s in sets:
+        nested = [s[:50], s[:60], s]
+        assert jaccard._may_link([jaccard._sketch(x) for x in nested], np.array([50, 60, 75]), 75).all()
+    got = jaccard.jaccard_components(spark.createDataFrame(pairs, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == brute_components(pairs)
+
+
 def test_jaccard_odd_rows(docs, none):
     got = {r["doc_id"]: r for r in jaccard.jaccard_components(docs).collect()}
     assert len(got) == 9 and got[3]["component_id"] == 3 and got[4]["n_shingles"] == 0
