@@ -94,6 +94,45 @@ def align(template: list[int], text: list[int], diagonal: int, band: int) -> tup
     return best[1], best[2], best[3] + 1
 
 
+def _may_match(template: np.ndarray, text: np.ndarray, free: np.ndarray, diagonal: int, band: int, least: float) -> bool:
+    """Whether ``least`` words of the template stand ``free`` in ``text`` within ``band`` of ``diagonal``: no alignment matches more."""
+    low = diagonal - band
+    padded = np.zeros(len(template) + 2 * band, np.uint64)
+    there = np.zeros(len(padded), bool)
+    a, b = max(0, low), min(len(text), low + len(padded))
+    if a >= b:
+        return False
+    padded[a - low : b - low], there[a - low : b - low] = text[a:b], free[a:b]
+    view = np.lib.stride_tricks.sliding_window_view
+    met = (view(padded, 2 * band + 1) == template[:, None]) & view(there, 2 * band + 1)
+    return int(met.any(1).sum()) >= least
+
+
+def _matches(template: list[int], text: np.ndarray, found: list[tuple[int, int]], band: int, least_coverage: float) -> Iterator[tuple[int, int, int]]:
+    """Matched words and span of each place where the template stands.
+
+    ``found``: (diagonal, position) of common fingerprints. Each diagonal is aligned until nothing
+    is found near it; the words of a match are taken, so that its neighbours are found by themselves.
+    """
+    body, least = np.array(template, np.uint64), least_coverage * len(template)
+    free = np.ones(len(text), bool)
+    at: dict[int, list[int]] = defaultdict(list)
+    for d, p in found:
+        at[d].append(p)
+    for d in sorted(at):
+        while any(free[p] for p in at[d]):
+            begin, end = max(0, d - 2 * band), min(len(text), d + len(template) + 2 * band)
+            part, open_ = text[begin:end], free[begin:end]
+            if not _may_match(body, part, open_, d - begin, band, least):
+                break
+            # a taken word equals none of the template's
+            matched, s, e = align(template, [x if ok else -1 for x, ok in zip(part.tolist(), open_.tolist())], d - begin, band)
+            if not matched or matched < least:
+                break
+            free[begin + s : begin + e] = False
+            yield matched, begin + s, begin + e
+
+
 def scan_licenses(
     docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, id_col: str = "doc_id", text_col: str = "text",
     k: int = 3, window: int = 3, band: int = 8, least_coverage: float = 0.75,
@@ -102,7 +141,8 @@ def scan_licenses(
 
     Words are runs of letters and digits, A-Z lower-cased. The templates' fingerprints (k words,
     winnowed) form an inverted index of fixed size that every task holds; texts are winnowed alike,
-    and each cluster of common fingerprints near one diagonal is aligned with its template.
+    and the template is aligned along each diagonal of common fingerprints, again until no match is
+    left there; of templates of few words every pair of words is a fingerprint.
     ``coverage`` is the part of the template's words matched; matches below ``least_coverage`` are
     left out. One pass, no shuffle: long texts, copies and hot sources need nothing special. Null
     and empty texts match nothing; repeated rows are reported each.
@@ -112,49 +152,40 @@ def scan_licenses(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Words(pa.array([templates[n] for n in names]), _ALPHABET, _BREAKS)
         bodies = [known.hash[a:b].tolist() for a, b in zip(known.first, known.first[1:])]
-        at, marks = _winnow(known, k, window)
-        index: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for p, g in zip(at.tolist(), marks.tolist()):
-            t = int(np.searchsorted(known.first, p, "right")) - 1
-            index[g].append((t, p - int(known.first[t])))
-        keys = np.sort(np.array(list(index), np.uint64))
+        # what is left of a changed short line can be without a whole window: every gram of its counts
+        short = [len(x) < 4 * (k + window - 1) for x in bodies]
+        tables = []
+        for size, width, which in ((k, window, False), (min(k, 2), 1, True)):
+            index: dict[int, list[tuple[int, int]]] = defaultdict(list)
+            for p, g in zip(*(x.tolist() for x in _winnow(known, size, width))):
+                t = int(np.searchsorted(known.first, p, "right")) - 1
+                if short[t] == which:
+                    index[g].append((t, p - int(known.first[t])))
+            tables.append((size, width, index, np.sort(np.array(list(index), np.uint64))))
         for batch in batches:
             texts = as_strings(batch, "t")
             for a, b in by_bytes(texts):
                 part = texts.slice(a, b - a)
                 w = Words(part, _ALPHABET, _BREAKS)
-                pos, g = _winnow(w, k, window)
-                slot = np.minimum(np.searchsorted(keys, g), max(len(keys) - 1, 0))
-                hit = keys[slot] == g if len(keys) else np.zeros(len(g), bool)
                 near: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
-                for p, mark in zip(pos[hit].tolist(), g[hit].tolist()):
-                    doc = int(np.searchsorted(w.first, p, "right")) - 1
-                    for t, q in index[mark]:
-                        near[doc, t].append((p - int(w.first[doc]) - q, q))
+                for size, width, index, keys in tables:
+                    if not len(keys):
+                        continue
+                    pos, g = _winnow(w, size, width)
+                    hit = keys[np.minimum(np.searchsorted(keys, g), len(keys) - 1)] == g
+                    for p, mark in zip(pos[hit].tolist(), g[hit].tolist()):
+                        doc = int(np.searchsorted(w.first, p, "right")) - 1
+                        for t, q in index[mark]:
+                            near[doc, t].append((p - int(w.first[doc]) - q, p - int(w.first[doc])))
                 data, offsets = string_bytes(part)
                 rows = []
                 for (doc, t), found in near.items():
-                    found.sort()
-                    groups = [[found[0][0]]]
-                    for d, _ in found[1:]:
-                        if d - groups[-1][0] > band:
-                            groups.append([d])
-                        else:
-                            groups[-1].append(d)
-                    first, count = int(w.first[doc]), int(w.first[doc + 1] - w.first[doc])
-                    spans = set()
-                    for diagonals in groups:
-                        middle = diagonals[len(diagonals) // 2]
-                        begin, end = max(0, middle - 2 * band), min(count, middle + len(bodies[t]) + 2 * band)
-                        matched, s, e = align(bodies[t], w.hash[first + begin : first + end].tolist(), middle - begin, band)
-                        if matched >= least_coverage * len(bodies[t]) and (s, e) not in spans:
-                            s, e = s + begin, e + begin
-                            if (s, e) not in spans:
-                                spans.add((s, e))
-                                head = data[offsets[doc] : w.start[first + s]].tobytes()
-                                body = data[w.start[first + s] : w.end[first + e - 1]].tobytes()
-                                c = len(head.decode())
-                                rows.append((doc, names[t], matched / len(bodies[t]), s, e, c, c + len(body.decode())))
+                    first, last = int(w.first[doc]), int(w.first[doc + 1])
+                    for matched, s, e in _matches(bodies[t], w.hash[first:last], found, band, least_coverage):
+                        head = data[offsets[doc] : w.start[first + s]].tobytes()
+                        body = data[w.start[first + s] : w.end[first + e - 1]].tobytes()
+                        c = len(head.decode())
+                        rows.append((doc, names[t], matched / len(bodies[t]), s, e, c, c + len(body.decode())))
                 rows.sort()
                 if rows:
                     cols = list(zip(*rows))

@@ -280,6 +280,22 @@ def test_licenses(spark, docs, none):
     assert licenses.scan_licenses(docs).count() == 0 and licenses.scan_licenses(none).count() == 0
 
 
+def test_licenses_in_a_row(spark):
+    """Notices that follow each other closely are found one by one, changed short lines too."""
+    lines = {n: t for n, t in licenses.TEMPLATES.items() if n.endswith("-line")}
+    pairs = [(i, " ".join([t] * 100)) for i, t in enumerate(lines.values())]
+    notice = licenses.TEMPLATES["isc-notice"]
+    pairs += [(10, "with or without fee is hereby granted, " * 40 + notice + " with or without fee is hereby granted" * 40), (11, "a Released under this MIT License. b")]
+    found = licenses.scan_licenses(spark.createDataFrame(pairs, "doc_id long, text string")).collect()
+    for i, (name, line) in enumerate(lines.items()):
+        mine = sorted((r["start_word"], r["end_word"], r["coverage"]) for r in found if (r["doc_id"], r["license"]) == (i, name))
+        n = mine[0][1]
+        assert mine == [(k * n, k * n + n, 1.0) for k in range(100)], name
+    whole = [r for r in found if r["doc_id"] == 10 and r["coverage"] == 1.0]
+    assert [(r["license"], pairs[4][1][r["start_char"] : r["end_char"]]) for r in whole] == [("isc-notice", notice.rstrip("."))]
+    assert [(r["license"], r["coverage"]) for r in found if r["doc_id"] == 11] == [("mit-line", 0.8)]
+
+
 def test_quotes_build_a_thread(spark):
     turns = [
         (1, 0, "a", "first line\nsecond thought"), (1, 1, "b", "another matter"), (1, 2, "c", "A wrote:\n> First  line\nI agree"), (1, 3, "a", "> I agree\n>> first line\nthanks"),
