@@ -61,9 +61,12 @@ class FactorizationMachine:
         return 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _fit(indptr: np.ndarray, terms: np.ndarray, y: np.ndarray, k: int, epochs: int, min_docs: int, min_chi2: float, seed: int) -> FactorizationMachine:
+def _fit(indptr: np.ndarray, terms: np.ndarray, y: np.ndarray, stands_for: np.ndarray, k: int, epochs: int, min_docs: int, min_chi2: float, seed: int) -> FactorizationMachine:
     """Adam on the logistic loss over the whole (bounded) sample.
 
+    Each row counts in the loss by the number of rows that it ``stands_for``, so that scores are
+    those of the labels' own class rate, whatever part of a class was drawn.
+
     Terms in fewer than ``min_docs`` rows, or whose presence is not tied to the label (chi-square
     below ``min_chi2``), are left out: most words of a corpus are rare, and a model that may use
     them all learns its sample by heart.
@@ -82,7 +85,8 @@ def _fit(indptr: np.ndarray, terms: np.ndarray, y: np.ndarray, k: int, epochs: i
     hit = index[terms] >= 0
     row, t = row[hit], index[terms[hit]]
     m = len(kept)
-    rate, l2 = float(y.mean()), 3e-4
+    part = stands_for / stands_for.sum()
+    rate, l2 = float(part @ y), 3e-4
     p = {"b": np.array([np.log(rate / (1 - rate))]), "w": np.zeros(m), "v": np.random.default_rng(seed).normal(0, 0.01, (k, m))}
     first, second = ({a: np.zeros_like(x) for a, x in p.items()} for _ in range(2))
     for step in range(1, epochs + 1):
@@ -90,7 +94,7 @@ def _fit(indptr: np.ndarray, terms: np.ndarray, y: np.ndarray, k: int, epochs: i
         z = p["b"][0] + np.bincount(row, p["w"][t], n)
         for f in range(k):
             z += 0.5 * (q[f] ** 2 - np.bincount(row, p["v"][f][t] ** 2, n))
-        g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / n
+        g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * part
         gr = g[row]
         grads = {"b": np.array([g.sum()]), "w": np.bincount(t, gr, m) + l2 * p["w"]}
         own = grads["w"] - l2 * p["w"]
@@ -110,7 +114,7 @@ def fit(
     max_rows: int = 12_000, k: int = 4, epochs: int = 120, min_docs: int = 3, min_chi2: float = 12.0, seed: int = 7,
 ) -> FactorizationMachine:
     """Fit on at most ``max_rows`` labelled rows outside the held-out fold, half of each class at
-    most, taken by a hash of the identifier. Null labels and identifiers don't train; an
+    most, taken by a hash of the identifier; the loss weighs the classes by their full counts. Null labels and identifiers don't train; an
     identifier with several labels counts by the largest. Without rows of both classes the model is
     constant: the mean label, 0 if there is none.
     """
@@ -147,7 +151,9 @@ def fit(
     lists = lists if isinstance(lists, pa.Array) else lists.chunk(0)
     terms = np.asarray(lists.flatten(), dtype=np.int64)
     indptr = np.concatenate(([0], np.cumsum(np.asarray(pa.compute.list_value_length(lists)))))
-    return _fit(indptr, terms, y, k, epochs, min_docs, min_chi2, seed)
+    drawn = {r["_y"]: r["n"] for r in picked.groupBy("_y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    stands_for = np.where(y == 1, sizes[1] / drawn[1], sizes[0] / drawn[0])
+    return _fit(indptr, terms, y, stands_for, k, epochs, min_docs, min_chi2, seed)
 
 
 def score(docs: DataFrame, model: FactorizationMachine, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -242,6 +242,20 @@ def test_toxicity_learns_a_pair(spark):
     assert np.mean([(scores[i] >= 0.5) == y for i, _, y in pairs]) > 0.98
 
 
+def test_toxicity_does_not_depend_on_the_sample(spark):
+    """A text that is toxic one time in three is clean, however much of a class is drawn."""
+    rng = np.random.default_rng(3)
+    rate = {"calm": 0.02, "rude": 0.33, "vile": 0.95}
+    pairs = [(i, f"plain {w}", int(rng.random() < rate[w])) for i, w in enumerate(rng.choice(list(rate), 4000, p=[0.8, 0.15, 0.05]).tolist())]
+    table = spark.createDataFrame(pairs, "doc_id long, text string, toxic int")
+    found = []
+    for max_rows in (500, 12_000):
+        model = toxicity.fit(table, table.select("doc_id", "toxic"), max_rows=max_rows)
+        found.append({r["text"]: r["score"] for r in toxicity.score(table.select("text").distinct(), model, id_col="text").collect()})
+    few, all_ = found
+    assert {w: s >= 0.5 for w, s in few.items()} == {w: s >= 0.5 for w, s in all_.items()} == {"plain calm": False, "plain rude": False, "plain vile": True}
+
+
 def test_nearest_against_brute_force(spark):
     found = queries.op5_nearest_vectors(spark, SF_DIR).collect()
     table = [(r["vec_id"], np.array(r["embedding"], float)) for r in spark.read.parquet(f"{SF_DIR}/embeddings.parquet").collect()]
