@@ -36,7 +36,7 @@ from .common import as_strings, by_bytes, mix, shingle_sets
 
 HEAVY_LIMIT = 1 << 20
 FILTER_BITS = 23
-#: Classes on one shingle up to which their sketches are compared; where more meet, all stay.
+#: Classes whose sketches are compared in one group; where more meet in pruning, all stay.
 SKETCH_RUN = 4096
 
 
@@ -393,7 +393,8 @@ def _apart_pairs(known: DataFrame, members: DataFrame, sets: DataFrame, percent:
     """``a, b``: pairs of cells with a key in common that aren't connected yet and may link.
 
     Of ``known(token, cell, lo, hi, comp)``. Only pairs that finer sketches of their members let
-    pass are given out; a key with more than ``SKETCH_RUN`` members gives all pairs of fitting size.
+    pass are given out. The members of a key are dealt into parts of about ``SKETCH_RUN``, and any
+    two parts meet in a group of their own, so a key of any size is compared in bounded groups.
     """
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -402,7 +403,7 @@ def _apart_pairs(known: DataFrame, members: DataFrame, sets: DataFrame, percent:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())], names=["cls", "n", "sketch"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in _runs(batches, 1):
+        for _, rows in _runs(batches, 3):
             cell, comp, sizes = (np.array([r[i] for r in rows]) for i in range(3))
             pairs = set()
             for i, others in _possible([r[3] for r in rows], sizes, percent, np.zeros(len(rows), bool)):
@@ -414,24 +415,37 @@ def _apart_pairs(known: DataFrame, members: DataFrame, sets: DataFrame, percent:
     held = known.join(members.groupBy("cell").agg(F.count(F.lit(1)).alias("m")), "cell").groupBy("token").agg(F.sum("m").alias("k"))
     sized = known.join(held, "token")
     maps = sets.select("cls", "n", "tokens").mapInArrow(sketched, "cls long, n long, sketch binary")
-    small = sized.where(F.col("k") <= SKETCH_RUN).join(members.select("cell", "cls"), "cell").join(maps, "cls").select("token", "cell", "comp", "n", "sketch")
-    near = small.repartition("token").sortWithinPartitions("token", "n", "cell").mapInArrow(run, "a long, b long")
-    wide = sized.where(F.col("k") > SKETCH_RUN)
-    left, right = wide.alias("l"), wide.alias("r")
-    fits = lambda a, b: F.col(f"{a}.hi") * 100 >= F.col(f"{b}.lo") * percent
-    every = left.join(right, (F.col("l.token") == F.col("r.token")) & (F.col("l.cell") < F.col("r.cell")) & (F.col("l.comp") != F.col("r.comp")) & fits("l", "r") & fits("r", "l"))
-    return near.unionByName(every.select(F.col("l.cell").alias("a"), F.col("r.cell").alias("b"))).distinct()
+    parts = F.expr(f"cast(ceil(k / {SKETCH_RUN}) as long)")
+    dealt = sized.join(members.select("cell", "cls"), "cell").withColumn("part", F.pmod(F.xxhash64("cls"), parts))
+    dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+    dealt = dealt.select("token", F.least("part", "with").alias("p"), F.greatest("part", "with").alias("q"), "cls", "cell", "comp")
+    rows = dealt.join(maps, "cls").select("token", "p", "q", "cell", "comp", "n", "sketch")
+    near = rows.repartition("token", "p", "q").sortWithinPartitions("token", "p", "q", "n", "cell")
+    return near.mapInArrow(run, "a long, b long").distinct()
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs``, all columns as they are, whose document is its component's smallest.
+    """The rows of ``docs``, all columns as they are, that are their component's first.
 
-    Identifiers tell documents apart here: rows that share one stay or go together.
+    Rows, not identifiers, are told apart, so exactly one row of every component stays: that with
+    the smallest identifier (a null one comes last), of rows that share it any one. Rows without
+    words (null or empty texts) have nothing in common and all stay. Very long texts are compared
+    whole; extra columns don't matter; an empty table stays empty.
     """
-    linked = jaccard_components(docs, id_col, **options)
-    gone = linked.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct()
-    gone = materialise(gone, shared_dir(docs.sparkSession), "gone")
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    folder = shared_dir(docs.sparkSession)
+    key = "_row"
+    while key in docs.columns:
+        key += "_"
+    rows = materialise(docs.withColumn(key, F.monotonically_increasing_id()), folder, "rows")
+    linked = materialise(jaccard_components(rows, key, **options), folder, "linked")
+    crowded = linked.where(F.col(key) != F.col("component_id")).select("component_id").distinct()
+    grouped = linked.join(crowded, "component_id", "left_semi").select(F.col(key).alias("_k"), "component_id")
+    known = rows.select(F.col(key).alias("_k"), F.col(id_col).isNull().alias("_none"), F.col(id_col).alias("_id"))
+    named = materialise(grouped.join(known, "_k"), folder, "named")
+    first = named.groupBy("component_id").agg(F.min(F.struct("_none", "_id", "_k"))["_k"].alias("_k"))
+    gone = named.select("_k").join(first.select("_k"), "_k", "left_anti")
+    gone = materialise(gone.withColumnRenamed("_k", key), folder, "gone")
+    return rows.join(gone, key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def jaccard_components(
