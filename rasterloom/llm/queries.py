@@ -144,7 +144,8 @@ nodes AS (SELECT c, t, coalesce(origin, before) AS reply_to, coalesce(n, 0) AS q
 deep(c, t, depth) AS (SELECT c, t, 0::BIGINT FROM nodes WHERE reply_to IS NULL UNION ALL SELECT n.c, n.t, depth + 1 FROM nodes n JOIN deep ON n.c = deep.c AND n.reply_to = deep.t),
 placed AS (SELECT c, t, depth, row_number() OVER (PARTITION BY c ORDER BY depth, t) AS position FROM deep)
 SELECT base.c AS conv_id, base.t AS turn, role,
-    regexp_replace(array_to_string(list_filter(string_split(body, chr(10)), lambda x: NOT regexp_matches(x, '^[ \t]*>') AND NOT regexp_matches(x, 'wrote:[ \t\r]*$')), chr(10)),
+    regexp_replace(array_to_string(list_filter(string_split(regexp_replace(body, '(?m)^[^\n]*wrote:[ \t\r]*\n([ \t\r\n]*>)', '\1', 'g'), chr(10)),
+        lambda x: NOT regexp_matches(x, '^[ \t]*>')), chr(10)),
         '^[\n\r\t ]+|[\n\r\t ]+$', '', 'g') AS text,
     reply_to, linked_by, quoted_lines, depth, position FROM base JOIN nodes USING (c, t) JOIN placed USING (c, t)
 """

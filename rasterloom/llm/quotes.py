@@ -21,8 +21,12 @@ def normalised(line: Column) -> Column:
 
 
 def own_text(text: Column) -> Column:
-    """The unquoted lines of a message, without lines that only announce a quotation."""
-    lines = F.filter(F.split(text, "\n"), lambda x: ~x.rlike(r"^[ \t]*>") & ~x.rlike(r"wrote:[ \t\r]*$"))
+    """The unquoted lines of a message.
+
+    A line that ends in ``wrote:`` goes too if what follows it, blank lines aside, is quoted.
+    """
+    text = F.regexp_replace(text, r"(?md)^[^\n]*wrote:[ \t\r]*\n(?=[ \t\r\n]*>)", "")
+    lines = F.filter(F.split(text, "\n"), lambda x: ~x.rlike(r"^[ \t]*>"))
     return F.regexp_replace(F.array_join(lines, "\n"), r"^[\n\r\t ]+|[\n\r\t ]+$", "")
 
 
