@@ -36,7 +36,8 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        #: strings that are one token wherever they stand; texts with them are encoded whole
+        self.added = [(t.content, t.normalized) for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.memory = memory
         tok = self.tokenizer
         spaced = tok.encode(" a", add_special_tokens=False).ids
@@ -146,19 +147,22 @@ class WordEncoder:
         source = np.repeat(start - ends[:-1], length) + np.arange(ends[-1])
         return pool[source], np.diff(ends[bounds])
 
+    def _certain(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        return self._split(texts if self.spaced else pc.replace_substring(texts, "\n", " "))
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if not len(texts):
             return np.zeros(0, np.int32), np.zeros(0, np.int64)
-        if not self.spaced:
-            return self._split(pc.replace_substring(texts, "\n", " "))
-        unsure = pc.match_substring_regex(texts, _UNSURE)
+        unsure = pc.match_substring_regex(texts, _UNSURE) if self.spaced else pa.array(np.zeros(len(texts), bool))
+        for content, normalised in self.added:
+            unsure = pc.or_(unsure, pc.match_substring(texts, content, ignore_case=normalised))
         if not pc.any(unsure).as_py():
-            return self._split(texts)
+            return self._certain(texts)
         odd = np.asarray(unsure)
         whole = [np.array(x, np.int32) for x in self._plain(texts.filter(unsure).to_pylist())]
         counts = np.zeros(len(texts), np.int64)
         counts[odd] = [len(x) for x in whole]
-        ids, some = self._split(texts.filter(pc.invert(unsure))) if not odd.all() else (np.zeros(0, np.int32), np.zeros(0, np.int64))
+        ids, some = self._certain(texts.filter(pc.invert(unsure))) if not odd.all() else (np.zeros(0, np.int32), np.zeros(0, np.int64))
         counts[~odd] = some
         out = np.empty(counts.sum(), np.int32)
         is_odd = np.repeat(odd, counts)
