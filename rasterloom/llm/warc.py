@@ -108,7 +108,12 @@ class _Roll:
 
     def commit(self) -> tuple:
         self.out.close()
-        self.store.move(self.temporary, f"{self.root}/{self.name}")
+        try:
+            self.store.move(self.temporary, f"{self.root}/{self.name}")
+        except OSError:  # some stores refuse to replace a file: that of a task run before is equal
+            if self.store.get_file_info(f"{self.root}/{self.name}").size != self.bytes:
+                raise
+            self.store.delete_file(self.temporary)
         return self.name, self.shard, self.seq, self.records, self.bytes, self.sha.hexdigest(), self.first, self.last
 
 
@@ -139,7 +144,8 @@ def write_archive(
     size reaches ``roll_bytes``. The same table gives the same files, byte for byte: a task that
     runs again replaces a file by an equal one, and only what the manifest lists counts. Null
     payloads are empty; a null identifier sorts first and is no revisit's target unless all are
-    null; null URLs are written as ``about:blank`` and read back as null.
+    null; null URLs are written as ``about:blank`` and read back as null. ``path`` must be in a
+    store that pyarrow opens (a shared file system, HDFS, S3, GCS); the table may lie anywhere.
     """
     spark = pages.sparkSession
     payload = F.coalesce(F.col(payload_col), F.lit("")).cast("binary")
@@ -183,7 +189,7 @@ def write_archive(
             kinds = [pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*done), kinds)], names=names)
 
-    dealt = rows.withColumn("shard", shard_of("page_id")).repartition(len(cuts) + 1, "shard").sortWithinPartitions("shard", "page_id", "digest", "url")
+    dealt = rows.withColumn("shard", shard_of("page_id")).repartitionById(len(cuts) + 1, "shard").sortWithinPartitions("shard", "page_id", "digest", "url")
     written = dealt.select("shard", "page_id", "url", "payload", "size", "digest", "origin", "again").mapInArrow(run, MANIFEST)
     written.write.parquet(f"{path}/_manifest")
     return spark.read.schema(MANIFEST).parquet(f"{path}/_manifest")
@@ -213,5 +219,6 @@ def read_archive(spark: SparkSession, path: str, payloads: bool = True) -> DataF
                     raise ValueError(f"{name}: {seen} records, the manifest has {count}")
                 yield pa.RecordBatch.from_pylist(out, kind)
 
-    files = manifest.select("file", "records").repartition("file")
+    # a number of partitions of its own, else small manifests become one task
+    files = manifest.select("file", "records").repartitionByRange(max(1, manifest.count()), "file")
     return files.mapInArrow(run, schema)
