@@ -16,7 +16,6 @@ from .stats import background_intensity, percentiles, with_slide
 # Published optical densities of the two dyes.
 HEMATOXYLIN = (0.65, 0.70, 0.29)
 EOSIN = (0.07, 0.99, 0.11)
-LARGE_PIXELS = 4096 * 4096
 
 _DENSITY = ["_d0", "_d1", "_d2"]
 
@@ -139,15 +138,18 @@ def apply_params(pixels: DataFrame, params: DataFrame, by: str = "slide_id") ->
     return found.select(by, "y", "x", *scaled)
 
 
-def eho_image(pixels: DataFrame, background: str = "background", sample_over: int = LARGE_PIXELS // 3, by: str = "slide_id") -> DataFrame:
+def eho_image(pixels: DataFrame, background: str = "background", sample_over: int | None = None, by: str = "slide_id") -> DataFrame:
     """``by, y, x, e, h, od`` with each slide's own parameters.
 
-    Slides of more than ``sample_over`` pixels are measured on every fourth row and column, a fixed
-    sample; they are converted in full.
+    Every pixel is measured. With ``sample_over``, slides of more pixels than that are measured on
+    every fourth row and column, a fixed sample; they are converted in full.
     """
-    sizes = pixels.groupBy(by).agg(F.count(F.lit(1)).alias("_n"))
-    sample = with_slide(pixels, sizes, by).where((F.col("_n") <= sample_over) | ((F.col("y") % 4 == 0) & (F.col("x") % 4 == 0))).drop("_n")
-    params = materialise(stain_params(sample, background, by=by), shared_dir(pixels.sparkSession), "params")
+    measured = pixels
+    if sample_over is not None:
+        sizes = pixels.groupBy(by).agg(F.count(F.lit(1)).alias("_n"))
+        every = (F.col("y") % 4 == 0) & (F.col("x") % 4 == 0)
+        measured = with_slide(pixels, sizes, by).where((F.col("_n") <= sample_over) | every).drop("_n")
+    params = materialise(stain_params(measured, background, by=by), shared_dir(pixels.sparkSession), "params")
     return apply_params(pixels, params, by)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import pixel
+from ..scratch import materialise, shared_dir
 
 # Bounds of the background intensity and the pixels that each tier needs.
 IO_LOW, IO_HIGH, IO_DEFAULT, IO_PIXELS = 200.0, 255.0, 240.0, 100
@@ -37,7 +38,12 @@ def percentiles(rows: DataFrame, columns: Sequence[str], ps: Sequence[float], by
 
 
 def with_slide(rows: DataFrame, per_slide: DataFrame, by: str = "slide_id", limit: int = 100_000) -> DataFrame:
-    """``rows`` with a slide's parameters: broadcast up to ``limit`` slides, a shuffle beyond."""
+    """``rows`` with a slide's parameters: broadcast up to ``limit`` slides, a shuffle beyond.
+
+    The parameters are written first, so that counting them and joining them take one run of
+    what they are made of.
+    """
+    per_slide = materialise(per_slide, shared_dir(rows.sparkSession), "slides")
     small = per_slide.limit(limit + 1).count() <= limit
     return rows.join(F.broadcast(per_slide) if small else per_slide, by, "left")
 

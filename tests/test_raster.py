@@ -145,6 +145,27 @@ def test_stain_vectors_are_found(spark):
     assert np.allclose(np.array(got["inverse"]) @ found, np.eye(3), atol=1e-6)
 
 
+def test_deconvolution_against_numpy(spark):
+    """Concentrations solve a pixel's densities for the stains; the third channel is as asked."""
+    stains = np.array([[0.65, 0.07, 0.3], [0.70, 0.99, 0.1], [0.29, 0.11, 0.9]])
+    inverse = np.linalg.inv(stains)
+    rgb = np.random.default_rng(6).integers(0, 256, (5, 7, 3))
+    params = spark.createDataFrame([("a", 240.0, inverse.tolist(), 1, 0)], "slide_id string, io double, inverse array<array<double>>, e_idx int, h_idx int")
+    pixels = image(spark, rgb)
+    params = params.withColumn("slide_id", F.lit(pixels.first()["slide_id"]))
+    density = -np.log10(np.clip(rgb, 1, 240) / 240.0)
+    want = np.einsum("ij,yxj->yxi", inverse, density)
+    for options, third in (({}, None), ({"residual": True}, "residual"), ({"gray": True}, "gray")):
+        got = stain.deconvolve(pixels, params, **options)
+        assert got.columns == ["slide_id", "y", "x", "haematoxylin", "eosin"] + ([third] if third else [])
+        for r in got.collect():
+            assert np.allclose([r["haematoxylin"], r["eosin"]], want[r["y"], r["x"], :2])
+            if third == "residual":
+                assert np.isclose(r["residual"], want[r["y"], r["x"], 2])
+            if third == "gray":
+                assert abs(r["gray"] - rgb[r["y"], r["x"]] @ [0.299, 0.587, 0.114]) < 1
+
+
 def test_stain_params_without_tissue(spark):
     params = stain.stain_params(image(spark, np.full((4, 4, 3), 255)).withColumn("background", F.lit(True))).first()
     assert (params["io"], params["e_lo"], params["e_hi"]) == (240.0, 0.0, 1.0)
