@@ -141,8 +141,11 @@ def frequent_shingles(texts: DataFrame, shingle: int, keep: int = 1 << 17, limit
     return np.sort(heavy.toPandas()["token"].to_numpy(np.int64).view(np.uint64))
 
 
-def _scan(texts: DataFrame, heavy: np.ndarray, shingle: int, percent: int) -> DataFrame:
-    """``id, n, cls, prefix, sketch`` of each text; a task gives the last two of a class once."""
+def _scan(texts: DataFrame, heavy: np.ndarray, folder: str, shingle: int, percent: int) -> DataFrame:
+    """``id, n, cls, prefix, late, sketch`` of each text; a task gives the last three of a class once.
+
+    ``late`` is the part of the prefix that are frequent shingles.
+    """
     shared = texts.sparkSession.sparkContext.broadcast(heavy)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,30 +153,56 @@ def _scan(texts: DataFrame, heavy: np.ndarray, shingle: int, percent: int) -> Da
         for batch in batches:
             column = as_strings(batch, "t")
             for a, b in by_bytes(column):
-                n, cls, prefixes, ends, sketches = [], [], [], [0], []
+                n, cls, sketches = [], [], []
+                rare, rare_ends, late, late_ends = [], [0], [], [0]
                 for s in shingle_sets(column.slice(a, b - a), shingle):
                     c = _signature(s) if len(s) else 0
                     n.append(len(s))
                     cls.append(c)
-                    p, sketch = 0, None
+                    few = often = s[:0]
+                    sketch = None
                     if len(s) and c not in met:
                         if len(met) > 1_000_000:
                             met.clear()
                         met.add(c)
                         sketch = _sketch(s)
                         p = len(s) - -(-percent * len(s) // 100) + 1
+                        few = s[:p]
                         if len(frequent):
                             at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
-                            late = frequent[at] == s
-                            s = np.concatenate([s[~late], s[late]]) if late.any() else s
-                        prefixes.append(s[:p])
-                    ends.append(ends[-1] + p)
+                            hot = frequent[at] == s
+                            if hot.any():
+                                few = s[~hot][:p]
+                                often = s[hot][: p - len(few)]
+                    rare.append(few)
+                    rare_ends.append(rare_ends[-1] + len(few))
+                    late.append(often)
+                    late_ends.append(late_ends[-1] + len(often))
                     sketches.append(sketch)
-                flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.uint64)
-                lists = pa.ListArray.from_arrays(pa.array(np.array(ends, np.int32)), pa.array(flat.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), lists, pa.array(sketches, pa.binary())], names=["id", "n", "cls", "prefix", "sketch"])
-
-    return texts.mapInArrow(run, "id long, n long, cls long, prefix array<long>, sketch binary")
+                lists = [
+                    pa.ListArray.from_arrays(pa.array(np.array(ends, np.int32)), pa.array(np.concatenate(parts).view(np.int64)))
+                    for parts, ends in ((rare, rare_ends), (late, late_ends))
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(a, b - a), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), *lists, pa.array(sketches, pa.binary())],
+                    names=["id", "n", "cls", "prefix", "late", "sketch"],
+                )
+
+    found = texts.mapInArrow(run, "id long, n long, cls long, prefix array<long>, late array<long>, sketch binary")
+    found = materialise(found, folder, "prefixes")
+    shared.destroy()
+    return found
+
+
+def _meeting_often(tokens: DataFrame) -> DataFrame:
+    """What ``_meeting`` gives, for shingles that a great part of all classes may hold.
+
+    Repeated rows go first (the key is the whole row), a shingle's first class is a minimum that
+    tasks take ahead of the shuffle, and the join that brings it back can be split by row count.
+    """
+    once = tokens.distinct()
+    first = once.groupBy("token").agg(F.min(F.struct("n", "cls"))["cls"].alias("leader"), F.count(F.lit(1)).alias("k"))
+    return once.join(first.where("k > 1").select("token", "leader"), "token").select("token", "n", "cls", "leader")
 
 
 def _meeting(tokens: DataFrame) -> DataFrame:
@@ -231,10 +260,13 @@ def _prune(meeting: DataFrame, sketches: DataFrame, folder: str, percent: int) -
                 yield pa.RecordBatch.from_arrays([pa.array([token] * len(kept), pa.int64()), *(pa.array(c, pa.int64()) for c in cols)], names=["token", "n", "cls", "leader"])
 
     def fitting(rows: DataFrame) -> DataFrame:
-        order = Window.partitionBy("token").orderBy("n", "cls")
-        below, above = F.lag("n").over(order), F.lead("n").over(order)
-        rows = rows.withColumn("below", below).withColumn("above", above).where(f"100 * below >= {percent} * n or 100 * n >= {percent} * above")
-        return rows.drop("below", "above").withColumn("k", F.count(F.lit(1)).over(Window.partitionBy("token")))
+        # rows are counted by key and size first: what a window takes are the sizes that occur on a key
+        sizes = rows.groupBy("token", "n").agg(F.count(F.lit(1)).alias("m"))
+        order = Window.partitionBy("token").orderBy("n")
+        sizes = sizes.withColumn("below", F.lag("n").over(order)).withColumn("above", F.lead("n").over(order))
+        sizes = sizes.where(f"m > 1 or 100 * below >= {percent} * n or 100 * n >= {percent} * above")
+        sizes = sizes.withColumn("k", F.sum("m").over(Window.partitionBy("token"))).select("token", "n", "k")
+        return rows.join(sizes, ["token", "n"]).select("token", "n", "cls", "leader", "k")
 
     led = materialise(meeting.select(F.col("leader").alias("token"), "n", "cls", "leader").distinct(), folder, "led")
     wide = materialise(led.groupBy("leader").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > SKETCH_RUN).select("leader"), folder, "wide")
@@ -247,7 +279,7 @@ def _prune(meeting: DataFrame, sketches: DataFrame, folder: str, percent: int) -
     return materialise(may.unionByName(runs.where(F.col("k") > SKETCH_RUN).select("token", "n", "cls", "leader")), folder, "may-link")
 
 
-def _sets(texts: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+def _sets(texts: DataFrame, wanted: DataFrame, folder: str, shingle: int) -> DataFrame:
     """``cls, n, tokens`` (binary) of the wanted classes, from a second look at the texts.
 
     A bit map of fixed size, made from all wanted classes, spares the others the shuffle.
@@ -278,7 +310,10 @@ def _sets(texts: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), pa.array(n, pa.int64()), pa.array(sets, pa.binary())], names=["cls", "n", "tokens"])
 
     found = texts.mapInArrow(run, "cls long, n long, tokens binary")
-    return found.join(wanted, "cls", "left_semi").groupBy("cls", "n").agg(F.first("tokens").alias("tokens"))
+    found = found.join(wanted, "cls", "left_semi").groupBy("cls", "n").agg(F.first("tokens").alias("tokens"))
+    found = materialise(found, folder, "sets")
+    shared.destroy()
+    return found
 
 
 def _overlaps(sets: list[np.ndarray]) -> Iterator[np.ndarray]:
@@ -465,9 +500,9 @@ def jaccard_components(
     folder = shared_dir(spark)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
     heavy = frequent_shingles(texts.select("t"), shingle)
-    found = materialise(_scan(texts, heavy, shingle, percent), folder, "prefixes")
-    tokens = found.where(F.size("prefix") > 0).select(F.explode("prefix").alias("token"), "n", "cls")
-    meeting = materialise(_meeting(tokens), folder, "meeting")
+    found = _scan(texts, heavy, folder, shingle, percent)
+    rare, late = (found.select(F.explode(c).alias("token"), "n", "cls") for c in ("prefix", "late"))
+    meeting = materialise(_meeting(rare).unionByName(_meeting_often(late)), folder, "meeting")
     sketches = found.where(F.col("sketch").isNotNull()).groupBy("cls").agg(F.first("sketch").alias("sketch"))
     meeting = _prune(meeting, sketches, folder, percent)
     label = _labels(texts, meeting, folder, shingle, percent, chunk_classes)
@@ -488,7 +523,7 @@ def _labels(texts: DataFrame, meeting: DataFrame, folder: str, shingle: int, per
         return None
     group = meeting.groupBy("cls").agg(F.min(F.struct("token", "leader")).alias("g")).select("cls", F.col("g.leader").alias("grp"))
     group = materialise(group, folder, "groups")
-    sets = materialise(_sets(texts, group.select("cls"), shingle), folder, "sets")
+    sets = _sets(texts, group.select("cls"), folder, shingle)
     sizes = group.groupBy("grp").agg(F.expr(f"cast(ceil(count(1) / {chunk_classes}) as long)").alias("parts"))
     chunk = F.pmod(F.xxhash64("cls"), F.col("parts")).alias("chunk")
     chunks = group.join(sizes, "grp").select("cls", "grp", chunk).join(sets, "cls")
