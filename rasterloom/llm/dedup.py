@@ -31,7 +31,7 @@ def distinct_texts(
     prefix_chars: int = 48, hot_share: int = 8, salts: int = 64,
 ) -> DataFrame:
     """The rows that ``exact_duplicates`` keeps, all columns as they are."""
-    row = F.struct(*docs.columns).alias("_row")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
     ranged, run = _sorted_runs(docs, normalised, id_col, text_col, keep, prefix_chars, hot_share, salts, row)
     first = ranged.withColumn("r", F.row_number().over(run)).where("r = 1")
     order = F.col("id").asc_nulls_last() if keep == "smallest" else F.col("id").desc_nulls_last()
