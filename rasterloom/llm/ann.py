@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from ..scratch import materialise, shared_dir
 
 DIMS, DEPTH, TIE_BITS = 6, 6, 26
+#: Queries that one task holds beside a block; a block that more ask for is dealt to several tasks.
+CHUNK = 2048
 
 
 def hilbert(points: np.ndarray, depth: int) -> np.ndarray:
@@ -165,7 +167,9 @@ def nearest(
     used, reach = _calibrate(classes, probe, model, k, recall, curves, blocks)
 
     shared = spark.sparkContext.broadcast(model)
-    out = "curve int, block int, kind int, cls long, x array<double>"
+    out = "curve int, block int, kind int, cls long, x array<double>, chunk int"
+    # a window of 2 * reach + 1 blocks asks each block for that part of all queries, on average
+    chunks = max(1, -(-asked_n * min(2 * reach + 1, blocks) // (blocks * CHUNK)))
 
     def deal(query: bool):
         def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -173,12 +177,16 @@ def nearest(
                 if not len(f):
                     continue
                 m, ties = _matrix(f["x"]), f["tie"].to_numpy(np.int64)
+                own = ((ties >> TIE_BITS) % chunks).astype(np.int32)
                 for c in range(used):
                     b = shared.value.blocks(m, ties, c, query)
-                    for step in range(-reach, reach + 1) if query else (0,):
-                        at = b + step
+                    # a query goes to its chunk of every block around it, a row to all chunks of its block
+                    places = [(b + step, own) for step in range(-reach, reach + 1)] if query else [(b, np.full_like(own, i)) for i in range(chunks)]
+                    for at, chunk in places:
                         ok = (at >= 0) & (at < blocks)
-                        yield pd.DataFrame({"curve": c, "block": at[ok].astype(np.int32), "kind": int(query), "cls": f["cls"].to_numpy()[ok], "x": f["x"][ok]})
+                        yield pd.DataFrame({
+                            "curve": c, "block": at[ok].astype(np.int32), "kind": int(query), "cls": f["cls"].to_numpy()[ok], "x": f["x"][ok], "chunk": chunk[ok],
+                        })
 
         return run
 
@@ -197,7 +205,7 @@ def nearest(
             found.append(pd.DataFrame({"q": q[a + r], "cls": ids[c], "score": s[r, c]}))
         return pd.concat(found)
 
-    finds = rows.unionByName(seekers).groupBy("curve", "block").applyInPandas(search, "q long, cls long, score double")
+    finds = rows.unionByName(seekers).groupBy("curve", "block", "chunk").applyInPandas(search, "q long, cls long, score double")
     finds = finds.groupBy("q", "cls").agg(F.max("score").alias("score"))
     top = Window.partitionBy("q").orderBy(F.desc("score"), "cls")
     finds = finds.withColumn("r", F.row_number().over(top)).where(F.col("r") <= k + 1)
@@ -228,6 +236,7 @@ def _calibrate(classes: DataFrame, probe: pd.DataFrame, model: Curves, k: int, r
     found = classes.select("cls", "x", "tie").mapInPandas(scan, "q int, cls long, score double, places array<int>")
     best = Window.partitionBy("q").orderBy(F.desc("score"), "cls")
     truth = found.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1).select("q", "places").toPandas()
+    shared.destroy()
     ties = probe["tie"].to_numpy(np.int64)
     home = np.stack([model.blocks(q, ties, c, True) for c in range(curves)], 1)
     gap = np.abs(_matrix(truth["places"]) - home[truth["q"].to_numpy()])
