@@ -43,7 +43,9 @@ def write_tokens(
                 before += int(bounds[-1])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("t"))
+    # the hash is a splitter too: texts that share an identifier (or have none) fill several files
+    rows = rows.withColumn("h", F.xxhash64("t"))
+    ordered = rows.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h").select("doc_id", "t")
     ordered.mapInArrow(run, SCHEMA).write.options(
         **{
             "compression": compression, "orc.stripe.size": stripe_bytes, "orc.create.index": "true", "orc.row.index.stride": index_stride,
