@@ -120,6 +120,25 @@ def test_jaccard_links_across_sketch_widths(spark):
     assert {r["doc_id"]: r["component_id"] for r in got} == brute_components(pairs)
 
 
+def test_jaccard_of_frequent_shingles(spark):
+    """Texts of little else than a passage that all have: what they share are frequent shingles only."""
+    rng = np.random.default_rng(2)
+    passage = [f"p{i}" for i in range(90)]
+    pairs = []
+    for i in range(80):
+        a, b = sorted(rng.integers(0, 91, 2).tolist())
+        pairs.append((i, " ".join(passage[a:b] + [f"own{i}x{k}" for k in range(int(rng.integers(0, 4)))])))
+    pairs += [(100 + i, " ".join(passage)) for i in range(30)]
+    table = spark.createDataFrame(pairs, "doc_id long, text string").repartition(7)
+    heavy = jaccard.frequent_shingles(table.select(F.col("text").alias("t")), 5)
+    scanned = jaccard._scan(table.select(F.col("doc_id").alias("id"), F.col("text").alias("t")), heavy, shared_dir(spark), 5, 75)
+    assert scanned.where("size(late) > 0").count() > 30
+    late = scanned.select(F.explode("late").alias("token"), "n", "cls").persist()
+    assert rows(jaccard._meeting(late)) == rows(jaccard._meeting_often(late))
+    got = jaccard.jaccard_components(table).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == brute_components(pairs)
+
+
 def test_jaccard_odd_rows(docs, none):
     got = {r["doc_id"]: r for r in jaccard.jaccard_components(docs).collect()}
     assert len(got) == 9 and got[3]["component_id"] == 3 and got[4]["n_shingles"] == 0
@@ -149,6 +168,8 @@ def test_dedup_odd_rows(docs, none, keep):
     assert dedup.exact_duplicates(none).count() == 0
     kept = dedup.distinct_texts(docs, keep=keep)
     assert kept.columns == docs.columns and kept.count() == 7
+    dotted = dedup.distinct_texts(docs.withColumnRenamed("p", "a.b"), keep=keep)
+    assert "a.b" in dotted.columns and dotted.count() == 7
 
 
 def test_dedup_hot_text(spark):
@@ -244,6 +265,55 @@ def test_orc_round_trip(spark, docs, none):
         assert orc_tokens.read_tokens(spark, path).count() == n
 
 
+def test_orc_layout(spark):
+    """Stripes, run-length encoded ids, row indexes and Bloom filters on identifiers are in the files."""
+    path = f"{shared_dir(spark)}/tokens"
+    table = spark.read.parquet(f"{SF_DIR}/documents.parquet").select((F.col("doc_id") * 100).alias("doc_id"), "text")
+    many = table.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(99)))).select((F.col("doc_id") + F.col("k")).alias("doc_id"), "text")
+    orc_tokens.write_tokens(many, path, queries.vocabulary("word_bpe_49k.json"), 1, stripe_bytes=1 << 16)
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    files = [x.getPath() for x in folder.getFileSystem(conf).listStatus(folder) if x.getPath().getName().startswith("part-")]
+    spans, stripes = [], 0
+    for file in files:
+        reader = jvm.org.apache.orc.OrcFile.createReader(file, jvm.org.apache.orc.OrcFile.readerOptions(conf))
+        assert reader.getRowIndexStride() == 1000
+        found = reader.rows()
+        for stripe in reader.getStripes():
+            footer = found.readStripeFooter(stripe)
+            kinds = {(s.getColumn(), s.getKind().toString()) for s in footer.getStreamsList()}
+            assert (1, "BLOOM_FILTER_UTF8") in kinds and (1, "ROW_INDEX") in kinds
+            # columns: the row, doc_id, part_start, n_tokens, ids and the ids' elements
+            assert {footer.getColumns(c).getKind().toString() for c in (1, 2, 3, 5)} == {"DIRECT_V2"}
+        for s in reader.getStripeStatistics():
+            ids = s.getColumnStatistics()[1]
+            spans.append((ids.getMinimum(), ids.getMaximum()))
+        stripes += reader.getStripes().size()
+        found.close()
+    assert stripes > len(files)
+    spans.sort()
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:])), "stripes' identifiers don't overlap"
+    one = orc_tokens.read_tokens(spark, path).where("doc_id = 12345")
+    assert one.count() == 1
+    assert "EqualTo(doc_id,12345)" in one._jdf.queryExecution().executedPlan().toString()
+
+
+def test_orc_texts_of_one_identifier(spark):
+    """Texts that share an identifier are dealt to several files and keep their places."""
+    path = f"{shared_dir(spark)}/tokens"
+    table = spark.range(4000).select(F.lit(7).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small parts stay apart
+    try:
+        orc_tokens.write_tokens(table, path, queries.vocabulary("word_bpe_49k.json"), 1)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    got = orc_tokens.read_tokens(spark, path)
+    assert got.count() == 4000
+    assert spark.read.orc(path).select(F.input_file_name().alias("f")).distinct().count() > 1
+    places = got.orderBy("start").select("start", "n_tokens").collect()
+    assert [r["start"] for r in places] == [0, *np.cumsum([r["n_tokens"] for r in places])[:-1].tolist()]
+
+
 def test_toxicity_on_held_out_rows(spark, docs, none):
     labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
     found = queries.op4_toxicity(spark, SF_DIR)
@@ -314,6 +384,29 @@ def test_nearest_against_brute_force(spark):
     assert hits >= 0.9 * 20 * len(got)
 
 
+def test_nearest_of_clusters(spark, monkeypatch):
+    """Where vectors have structure the windows are narrow, and a block asked by many is dealt in parts."""
+    monkeypatch.setattr(ann, "CHUNK", 5)
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(120, 32))
+    m = np.repeat(centres, 50, 0) + rng.normal(0, 0.1, (6000, 32))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "vec_id long, embedding array<double>")
+    settings = []
+    calibrate = ann._calibrate
+    monkeypatch.setattr(ann, "_calibrate", lambda *a: settings.append(calibrate(*a)) or settings[0])
+    got = {}
+    for r in ann.nearest(table, F.col("vec_id") % 20 == 0).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    hits = 0
+    for q, mine in got.items():
+        s = m @ m[q]
+        s[q] = -np.inf
+        hits += len(mine & set(np.argsort(-s)[:20].tolist()))
+    used, reach = settings[0]
+    assert len(got) == 300 and hits >= 0.9 * 20 * 300
+    assert used * (2 * reach + 1) <= 16, f"{used} curves, {reach} blocks to each side of 32"
+
+
 def test_nearest_odd_rows(spark):
     vectors = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, None), (3, [0.0, 0.0]), (4, [float("nan"), 1.0]), (5, [None, 1.0]), (6, [0.5, 0.5]), (7, [1.0]), (None, [1.0, 1.0])]
     df = spark.createDataFrame(vectors, "vec_id long, embedding array<float>").withColumn("x", F.lit(1))
@@ -422,6 +515,15 @@ def test_mixing_does_not_depend_on_its_buckets(spark, monkeypatch, bits):
     assert select() == want and any("('copies', 1)" in r for r in want) and any("('copies', 0)" in r for r in want)
 
 
+def test_pipeline_stages_on_odd_rows(spark, docs, none):
+    """Nulls, empty and long texts, repeated rows, clashing columns and an empty table pass every stage."""
+    for name, stage in corpus_pipeline.STAGES:
+        got = stage(spark, docs, SF_DIR)
+        assert got.columns == docs.columns or name == "best-fit packing", name
+        assert got.count() > 0, name
+        assert stage(spark, none, SF_DIR).count() == 0, name
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     for name, stage in corpus_pipeline.STAGES[:-1]:
