@@ -2,11 +2,37 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
 
+Run = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def gives_back(run: Run) -> Run:
+    """A task's function that ends by giving freed memory back to the system.
+
+    Spark keeps a Python worker for later tasks, of other operators too; what a task's work arrays
+    took would count against the executor for as long.
+    """
+
+    @wraps(run)
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        free_memory()
+
+    return task
+
+
+def free_memory() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
 
 def as_strings(batch: pa.RecordBatch, name: str) -> pa.Array:
     column = batch.column(batch.schema.get_field_index(name))

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ..operators.graph import components
 from ..scratch import materialise, shared_dir
-from .common import as_strings, by_bytes, mix, shingle_sets
+from .common import as_strings, by_bytes, gives_back, mix, shingle_sets
 
 HEAVY_LIMIT = 1 << 20
 FILTER_BITS = 23
@@ -108,6 +108,7 @@ def frequent_shingles(texts: DataFrame, shingle: int, keep: int = 1 << 17, limit
     ``limit`` shingles can pass. The list only orders shingles: what it misses costs time, not links.
     """
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts, held, size, total = np.zeros(0, np.uint64), np.zeros(0, np.int64), [], 0, 0
 
@@ -128,7 +129,7 @@ def frequent_shingles(texts: DataFrame, shingle: int, keep: int = 1 << 17, limit
                     held.append(s)
                     size += len(s)
                     total += len(s)
-                if size > 2_000_000:
+                if size > 1_000_000:
                     fold()
         fold()
         some = counts >= 2
@@ -148,6 +149,7 @@ def _scan(texts: DataFrame, heavy: np.ndarray, folder: str, shingle: int, percen
     """
     shared = texts.sparkSession.sparkContext.broadcast(heavy)
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, met = shared.value, set()
         for batch in batches:
@@ -290,6 +292,7 @@ def _sets(texts: DataFrame, wanted: DataFrame, folder: str, shingle: int) -> Dat
     table[bits["word"].to_numpy(np.int64)] = bits["bits"].to_numpy(np.int64)
     shared = texts.sparkSession.sparkContext.broadcast(table)
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, met = shared.value, set()
         for batch in batches:

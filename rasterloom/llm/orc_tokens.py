@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import as_strings, by_bytes
+from .common import as_strings, by_bytes, gives_back
 from .tokens import encoder, with_end
 
 SCHEMA = "doc_id long, part_start long, n_tokens int, ids array<int>"
@@ -29,6 +29,7 @@ def write_tokens(
     file, so the place of every document follows from one number a file. Other columns are ignored.
     """
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, before = encoder(vocabulary), 0
         for batch in batches:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..scratch import materialise, shared_dir
-from .common import _ALPHABET, _SPACE, Words, as_strings, by_bytes
+from .common import _ALPHABET, _SPACE, Words, as_strings, by_bytes, gives_back
 
 BITS = 18
 HEADS = (4, 5)  # besides whole words, their first so many bytes are terms: stems of inflected words
@@ -140,6 +140,7 @@ def fit(
     chosen = usable.where(F.when(F.col("_y") == 1, draw < share[1]).otherwise(draw < share[0]))
     picked = chosen.orderBy(draw, "_id").limit(max_rows)  # the same rows however the table is dealt
 
+    @gives_back
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = as_strings(batch, "t")
@@ -190,6 +191,7 @@ def score(docs: DataFrame, model: FactorizationMachine, id_col: str = "doc_id",
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = docs.schema[id_col].dataType
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = as_strings(batch, "t")
@@ -209,6 +211,7 @@ def keep_clean(docs: DataFrame, model: FactorizationMachine, threshold: float =
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = as_strings(batch, text_col)
