@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..scratch import shared_dir
-from . import ann, dedup, jaccard, licenses, mixing, orc_tokens, packing, quotes, toxicity, warc
+from . import alignment, ann, dedup, jaccard, licenses, mixing, orc_tokens, packing, pieces, quotes, toxicity, warc, whitening
 
 LANGUAGE_WEIGHTS = {"en": 4, "de": 2, "fr": 2, "es": 1}
 
@@ -76,10 +76,25 @@ def op10_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orc_tokens.digests(orc_tokens.read_tokens(spark, path))
 
 
+def op11_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = vocabulary("piece_bpe_32k.model")
+    tokens = pieces.decode_pieces(pieces.encode_pieces(table(spark, sf_dir, "documents"), model), model)
+    n = F.size("ids").cast("long").alias("n_tokens")
+    return tokens.select("doc_id", n, pieces.ids_digest(F.col("ids")).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=16)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_mix_sources, op2_best_fit_packing, op3_ngram_jaccard, op4_toxicity, op5_nearest_vectors, op6_license_scan, op7_quote_threads,
-        op8_warc_archive, op9_exact_dedup, op10_orc_tokens,
+        op8_warc_archive, op9_exact_dedup, op10_orc_tokens, op11_piece_round_trip, op12_token_alignment, op13_whitening,
     )
     return {f.__name__: f for f in every}
 

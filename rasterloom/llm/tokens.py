@@ -29,15 +29,20 @@ class WordEncoder:
 
     The kind of the tokenizer follows from its file: byte-level ones whose tokens carry a leading
     space are split before single spaces; those that drop white space are split at it.
+    ``plain``: the strings of special tokens are ordinary text. ``lead``: every text is encoded as
+    if a space stood before it (for tokenizers of the first kind).
     """
 
-    def __init__(self, path: str, memory: int = 500_000):
+    def __init__(self, path: str, memory: int = 500_000, plain: bool = False, lead: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         #: strings that are one token wherever they stand; texts with them are encoded whole
-        self.added = [(t.content, t.normalized) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.tokenizer.encode_special_tokens = plain
+        self.added = [(t.content, t.normalized) for t in added if not (plain and t.special)]
+        self.lead = lead
         self.memory = memory
         tok = self.tokenizer
         spaced = tok.encode(" a", add_special_tokens=False).ids
@@ -137,7 +142,7 @@ class WordEncoder:
         pool, start, length = self._words(flat.dictionary)
         start, length = start[code], length[code]
         bounds = bounds - bounds[0]
-        if self.spaced:  # the first word of a text has no space before it
+        if self.spaced and not self.lead:  # the first word of a text has no space before it
             head = bounds[:-1]
             each = self._plain(flat.dictionary.take(pa.array(code[head])).to_pylist())
             length[head] = [len(x) for x in each]
@@ -159,7 +164,8 @@ class WordEncoder:
         if not pc.any(unsure).as_py():
             return self._certain(texts)
         odd = np.asarray(unsure)
-        whole = [np.array(x, np.int32) for x in self._plain(texts.filter(unsure).to_pylist())]
+        front = " " if self.lead else ""
+        whole = [np.array(x, np.int32) for x in self._plain([front + t for t in texts.filter(unsure).to_pylist()])]
         counts = np.zeros(len(texts), np.int64)
         counts[odd] = [len(x) for x in whole]
         ids, some = self._certain(texts.filter(pc.invert(unsure))) if not odd.all() else (np.zeros(0, np.int32), np.zeros(0, np.int64))
@@ -171,14 +177,15 @@ class WordEncoder:
         return out, counts
 
 
-_encoders: dict[str, WordEncoder] = {}
+_encoders: dict[tuple[str, bool, bool], WordEncoder] = {}
 
 
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str, plain: bool = False, lead: bool = False) -> WordEncoder:
     """This worker's encoder for a vocabulary file; it lasts as long as the worker."""
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+    key = (path, plain, lead)
+    if key not in _encoders:
+        _encoders[key] = WordEncoder(path, plain=plain, lead=lead)
+    return _encoders[key]
 
 
 def with_end(ids: np.ndarray, counts: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
