@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..scratch import materialise, shared_dir
 from .common import as_strings, by_bytes, gives_back, string_bytes
 from .pieces import SPACE, list_array, piece_encoder
-from .tokens import encoder
+from .tokens import UNSURE, encoder
 
 #: Pairs of ids that are broadcast, at most; the others are joined by a shuffle.
 BROADCAST_PAIRS = 500_000
@@ -70,41 +70,61 @@ def _ends(ids: np.ndarray, counts: np.ndarray, table: TokenBytes) -> tuple[np.nd
     return upto[1:] - np.repeat(first[:-1], counts), np.diff(first)
 
 
-def tokenise_both(docs: DataFrame, words: str, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, a, a_end, b, b_end``: ids and byte offsets after each token, by both tokenizers.
-
-    A encodes a space and the text by the byte-level vocabulary ``words``, strings of special tokens
-    as plain text; B the text by ``model``, which adds that space. Null and empty texts, and texts
-    that either side does not give back byte for byte, have empty arrays.
+def _parts(texts: pa.Array) -> pa.ListArray:
+    """Each text cut before its spaces where both tokenizers certainly cut, else in one part."""
+    unsure = pc.or_(pc.match_substring_regex(texts, UNSURE), pc.match_substring_regex(texts, f"{SPACE}|\\x00"))
+    if not pc.any(unsure).as_py():
+        return pc.split_pattern(texts, " ")
+    odd = np.asarray(unsure)
+    easy = pc.split_pattern(texts.filter(pc.invert(unsure)), " ")
+    some = texts.filter(unsure)
+    hard = pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1), pa.int32()), some)
+    place = np.empty(len(texts), np.int64)
+    place[~odd], place[odd] = np.arange(len(easy)), len(easy) + np.arange(len(some))
+    return pa.concat_arrays([easy, hard]).take(pa.array(place))
+
+
+def tokenise_both(docs: DataFrame, words: str, model: str, id_col: str = "doc_id", text_col: str = "text", block: int = 1 << 21) -> DataFrame:
+    """``docs, parts``: a row for each block of texts of about ``block`` bytes.
+
+    ``docs`` has ``(id, parts)`` a text, its parts as indexes into ``parts``, in order; ``parts`` has
+    ``(a, a_end, b, b_end)``, ids and byte offsets after each token, of every distinct part of the
+    block, once. A part is a space and what follows up to the next space, so both tokenizers end a
+    token with it; texts with spaces in a row or other odd ones are one part. A encodes by the
+    byte-level vocabulary ``words``, strings of special tokens as plain text; B by ``model``. Null
+    and empty texts, and those that a side does not give back byte for byte, have no parts.
     """
     kind = docs.select(F.col(f"`{id_col}`").alias("id")).schema["id"].dataType.simpleString()
 
     @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one, other = encoder(words, True, True), piece_encoder(model)
-        sides = ((one, _word_bytes(words)), (other, _piece_bytes(model)))
+        sides = ((encoder(words, True, True), _word_bytes(words)), (piece_encoder(model), _piece_bytes(model)))
         for batch in batches:
             every = as_strings(batch, "text")
-            for lo, hi in by_bytes(every, 1 << 22):
+            for lo, hi in by_bytes(every, block):
                 texts = every.slice(lo, hi - lo)
-                full = np.asarray(pc.binary_length(texts)).astype(np.int64) > 0
-                want = string_bytes(pc.binary_join_element_wise(pa.scalar("", texts.type), texts, " "))
-                keep, found = full.copy(), []
+                lists = _parts(texts)
+                bounds = np.asarray(lists.offsets, dtype=np.int64)
+                bounds = bounds - bounds[0]
+                flat = lists.flatten().dictionary_encode()
+                parts, code = flat.dictionary, np.asarray(flat.indices)
+                want = string_bytes(pc.binary_join_element_wise(pa.scalar("", parts.type), parts, " "))
+                good, arrays = np.asarray(pc.binary_length(parts)) > 0, []
                 for encode, table in sides:
-                    ids, counts = encode.encode(texts)
-                    some = np.repeat(full, counts)
-                    ids, counts = ids[some], counts * full
+                    ids, counts = encode.encode(parts)
                     ends, sizes = _ends(ids, counts, table)
-                    keep &= _same(table.join(ids), sizes, *want)
-                    found.append((ids, counts, ends))
-                out = [batch.column(0).slice(lo, hi - lo)]
-                for ids, counts, ends in found:
-                    some = np.repeat(keep, counts)
-                    out += [list_array(ids[some], counts * keep), list_array(ends[some], counts * keep)]
-                yield pa.RecordBatch.from_arrays(out, ["id", "a", "a_end", "b", "b_end"])
+                    good = good & _same(table.join(ids), sizes, *want)
+                    arrays += [list_array(ids, counts), list_array(ends, counts)]
+                bad = np.concatenate(([0], np.cumsum(~good[code])))
+                keep = bad[bounds[1:]] == bad[bounds[:-1]]
+                each = list_array(code[np.repeat(keep, np.diff(bounds))], np.diff(bounds) * keep)
+                rows = pa.StructArray.from_arrays([batch.column(0).slice(lo, hi - lo), each], ["id", "parts"])
+                tokens = pa.StructArray.from_arrays(arrays, ["a", "a_end", "b", "b_end"])
+                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (rows, tokens)], ["docs", "parts"])
 
     plain = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    return plain.mapInArrow(run, f"id {kind}, a array<int>, a_end array<int>, b array<int>, b_end array<int>")
+    lists = ", ".join(f"{c}: array<int>" for c in ("a", "a_end", "b", "b_end"))
+    return plain.mapInArrow(run, f"docs array<struct<id: {kind}, parts: array<int>>>, parts array<struct<{lists}>>")
 
 
 def _same(got: np.ndarray, sizes: np.ndarray, want: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -139,25 +159,48 @@ def _places(ends: Column, cuts: Column) -> Column:
     return F.transform(cut, lambda x: low(x).cast("int"))
 
 
-def align(tokens: DataFrame) -> DataFrame:
-    """``tokens`` with ``groups`` and ``links``.
+def groups(a_end: Column, b_end: Column) -> Column:
+    """Offsets where tokens of both sides end cut them into groups: ``(a_from, a_to, b_from, b_to)``.
 
-    Offsets where tokens of both sides end cut them into groups: ``groups`` is an array of
-    ``(a_from, a_to, b_from, b_to)``, indexes from 0, ends included. The last tokens of a group's
-    two sides end together, and no others do: ``links`` is an array of ``(a, b)`` ids. Texts
-    without tokens have empty arrays. Work is that of sorting a text's offsets.
+    Indexes are from 0, ends included; empty arrays have no groups. The last tokens of a group's
+    two sides end together, and no others do. Work is that of sorting the offsets.
     """
-    cuts = F.array_intersect("a_end", "b_end")
-    placed = tokens.withColumn("_cut", F.struct(_places(F.col("a_end"), cuts).alias("a"), _places(F.col("b_end"), cuts).alias("b")))
+    cuts = F.array_intersect(a_end, b_end)
 
-    def groups(at: Column) -> Column:
+    def of(at: Column) -> Column:
         k = F.when(F.size(at["a"]) > 0, F.sequence(F.lit(0), F.size(at["a"]) - 1)).otherwise(F.array().cast("array<int>"))
         begin = lambda side, i: F.when(i > 0, F.get(at[side], i - 1) + 1).otherwise(0)
         end = lambda side, i: F.get(at[side], i)
         return F.transform(k, lambda i: F.struct(begin("a", i).alias("a_from"), end("a", i).alias("a_to"), begin("b", i).alias("b_from"), end("b", i).alias("b_to")))
 
-    found = placed.withColumn("groups", _let(F.col("_cut"), groups)).drop("_cut")
-    return found.withColumn("links", F.transform("groups", lambda g: F.struct(F.get(F.col("a"), g["a_to"]).alias("a"), F.get(F.col("b"), g["b_to"]).alias("b"))))
+    return _let(F.struct(_places(a_end, cuts).alias("a"), _places(b_end, cuts).alias("b")), of)
+
+
+def links(groups: Column, a: Column, b: Column) -> Column:
+    """The ids of each group's last tokens, A's in the upper and B's in the lower 32 bits."""
+    return F.transform(groups, lambda g: F.shiftleft(F.get(a, g["a_to"]).cast("long"), 32) + F.get(b, g["b_to"]).cast("long"))
+
+
+def align(tokens: DataFrame) -> DataFrame:
+    """``id, n_a, n_b, groups, pairs``, a row a text, of what ``tokenise_both`` gives.
+
+    ``groups`` is ``a1,a2|b1;a3|b2,b3``: the ids of both sides, group by group; ``pairs`` are the
+    packed ids of tokens that end together. A block's distinct parts are aligned once, and a text's
+    groups are those of its parts in order, as every part ends a token on both sides.
+    """
+    def part(t: Column) -> Column:
+        whole = lambda g: F.struct(groups_text(g, t["a"], t["b"]).alias("text"), links(g, t["a"], t["b"]).alias("pairs"), F.size(t["a"]).alias("a"), F.size(t["b"]).alias("b"))
+        return _let(groups(t["a_end"], t["b_end"]), whole)
+
+    def text(d: Column, every: Column) -> Column:
+        each = F.transform(d["parts"], lambda i: F.get(every, i))
+        total = lambda x, side: F.aggregate(x, F.lit(0).cast("long"), lambda s, p: s + p[side])
+        return _let(each, lambda x: F.struct(
+            d["id"].alias("id"), total(x, "a").alias("n_a"), total(x, "b").alias("n_b"), F.array_join(x["text"], ";").alias("groups"), F.flatten(x["pairs"]).alias("pairs"),
+        ))
+
+    whole = _let(F.transform("parts", part), lambda every: F.transform(F.col("docs"), lambda d: text(d, every)))
+    return tokens.select(F.inline(whole))
 
 
 def groups_text(groups: Column, a: Column, b: Column) -> Column:
@@ -167,11 +210,11 @@ def groups_text(groups: Column, a: Column, b: Column) -> Column:
     return F.array_join(F.transform(groups, lambda g: F.concat(side(a, g["a_from"], g["a_to"]), F.lit("|"), side(b, g["b_from"], g["b_to"]))), ";")
 
 
-def pair_counts(links: DataFrame) -> DataFrame:
+def pair_counts(rows: DataFrame) -> DataFrame:
     """``pair, n, best`` of a column ``pairs`` of packed id pairs: how often each occurs, and whether
     no pair of the same B id occurs oftener. Counted on the map side before anything is shuffled."""
-    counts = links.select(F.explode("pairs").alias("pair")).groupBy("pair").agg(F.count(F.lit(1)).alias("n"))
-    counts = materialise(counts, shared_dir(links.sparkSession), "pairs")
+    counts = rows.select(F.explode("pairs").alias("pair")).groupBy("pair").agg(F.count(F.lit(1)).alias("n"))
+    counts = materialise(counts, shared_dir(rows.sparkSession), "pairs")
     b = F.col("pair").bitwiseAND(F.lit((1 << 32) - 1))
     most = counts.groupBy(b.alias("b")).agg(F.max("n").alias("most"))
     return counts.withColumn("b", b).join(most, "b").select("pair", "n", (F.col("n") == F.col("most")).alias("best"))
@@ -190,16 +233,16 @@ def _frequent(counts: DataFrame, most: int) -> tuple[int, bool]:
     return 1, False
 
 
-def score_links(links: DataFrame, broadcast_pairs: int = BROADCAST_PAIRS) -> DataFrame:
-    """``row, n_best, count_sum`` of ``links(row, pairs)``, rows without links left out.
+def score_links(rows: DataFrame, broadcast_pairs: int = BROADCAST_PAIRS) -> DataFrame:
+    """``row, n_best, count_sum`` of ``rows(row, pairs)``, rows without links left out.
 
     A link counts what its pair counts in the whole corpus; it is best if no pair of its B id
     counts more. Pairs that occur often, at most ``broadcast_pairs`` of them, meet their counts
     where they are; the others, none of which is frequent, by a shuffle.
     """
-    counts = materialise(pair_counts(links), shared_dir(links.sparkSession), "counts")
+    counts = materialise(pair_counts(rows), shared_dir(rows.sparkSession), "counts")
     least, more = _frequent(counts, broadcast_pairs)
-    each = links.select("row", F.explode("pairs").alias("pair"))
+    each = rows.select("row", F.explode("pairs").alias("pair"))
     hot = counts.where(F.col("n") >= F.lit(least))
     met = each.join(F.broadcast(hot), "pair", "left" if more else "inner")
     if more:
@@ -217,11 +260,9 @@ def align_documents(docs: DataFrame, words: str, model: str, id_col: str = "doc_
     don't matter; an empty table gives an empty one. What a text of any length needs is its arrays.
     """
     found = align(tokenise_both(docs, words, model, id_col, text_col))
-    packed = F.transform("links", lambda x: F.shiftleft(x["a"].cast("long"), 32) + x["b"].cast("long"))
-    text = groups_text(F.col("groups"), F.col("a"), F.col("b"))
-    sizes = [F.size(c).cast("long").alias(n) for n, c in (("n_a", "a"), ("n_b", "b"), ("n_groups", "groups"), ("n_links", "links"))]
-    digest = F.when(F.size("groups") > 0, F.sha2(text, 256)).otherwise("").alias("groups_sha256")
-    rows = found.select(F.monotonically_increasing_id().alias("row"), "id", *sizes, digest, packed.alias("pairs"))
+    size = F.size("pairs").cast("long")  # a group has one link
+    digest = F.when(F.size("pairs") > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256")
+    rows = found.select(F.monotonically_increasing_id().alias("row"), "id", "n_a", "n_b", size.alias("n_groups"), size.alias("n_links"), digest, "pairs")
     rows = materialise(rows, shared_dir(docs.sparkSession), "links")
     scored = score_links(rows.select("row", "pairs"))
     out = rows.drop("pairs").join(scored, "row", "left")

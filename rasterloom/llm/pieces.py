@@ -33,7 +33,7 @@ class PieceEncoder:
     ``memory`` bounds the parts and the checked neighbours that are remembered, not what is encoded.
     """
 
-    def __init__(self, path: str, memory: int = 800_000):
+    def __init__(self, path: str, memory: int = 500_000):
         import ahocorasick
         import sentencepiece
 
@@ -233,7 +233,7 @@ def encode_pieces(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
         encoder = piece_encoder(model)
         for batch in batches:
             texts = as_strings(batch, "text")
-            for a, b in by_bytes(texts, 1 << 22):
+            for a, b in by_bytes(texts, 1 << 21):
                 ids, counts = encoder.encode(texts.slice(a, b - a))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), list_array(ids, counts)], ["id", "ids"])
 

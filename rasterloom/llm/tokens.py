@@ -19,7 +19,7 @@ from .common import string_bytes
 
 #: Unicode white space next to a space: there a space need not begin a token of its own.
 _WS = r"[\t\n\x0b\x0c\r \x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-_UNSURE = rf"(?:^ | $|{_WS} | {_WS})"
+UNSURE = rf"(?:^ | $|{_WS} | {_WS})"
 _SEPARATOR = "\x01"
 _LETTERS = re.compile("[A-Za-z]+").fullmatch
 
@@ -158,7 +158,7 @@ class WordEncoder:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if not len(texts):
             return np.zeros(0, np.int32), np.zeros(0, np.int64)
-        unsure = pc.match_substring_regex(texts, _UNSURE) if self.spaced else pa.array(np.zeros(len(texts), bool))
+        unsure = pc.match_substring_regex(texts, UNSURE) if self.spaced else pa.array(np.zeros(len(texts), bool))
         for content, normalised in self.added:
             unsure = pc.or_(unsure, pc.match_substring(texts, content, ignore_case=normalised))
         if not pc.any(unsure).as_py():
