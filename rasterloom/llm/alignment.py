@@ -21,6 +21,8 @@ from .tokens import UNSURE, encoder
 
 #: Pairs of ids that are broadcast, at most; the others are joined by a shuffle.
 BROADCAST_PAIRS = 500_000
+#: Parts whose ids a worker remembers for each tokenizer: two of them share its memory here.
+MEMORY = 200_000
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -49,7 +51,7 @@ _bytes: dict[str, TokenBytes] = {}
 
 def _word_bytes(path: str) -> TokenBytes:
     if path not in _bytes:
-        tokenizer, table = encoder(path, True, True).tokenizer, _byte_alphabet()
+        tokenizer, table = encoder(path, True, True, MEMORY).tokenizer, _byte_alphabet()
         texts = [tokenizer.id_to_token(i) or "" for i in range(tokenizer.get_vocab_size())]
         _bytes[path] = TokenBytes([bytes(table[c] for c in t) if all(c in table for c in t) else t.encode() for t in texts])
     return _bytes[path]
@@ -57,7 +59,7 @@ def _word_bytes(path: str) -> TokenBytes:
 
 def _piece_bytes(path: str) -> TokenBytes:
     if path not in _bytes:
-        p = piece_encoder(path)
+        p = piece_encoder(path, MEMORY)
         single = {i: bytes([b]) for b, i in p.byte.items()}
         _bytes[path] = TokenBytes([single.get(i, (t or "").replace(SPACE, " ").encode()) for i, t in enumerate(p.pieces)])
     return _bytes[path]
@@ -84,7 +86,7 @@ def _parts(texts: pa.Array) -> pa.ListArray:
     return pa.concat_arrays([easy, hard]).take(pa.array(place))
 
 
-def tokenise_both(docs: DataFrame, words: str, model: str, id_col: str = "doc_id", text_col: str = "text", block: int = 1 << 21) -> DataFrame:
+def tokenise_both(docs: DataFrame, words: str, model: str, id_col: str = "doc_id", text_col: str = "text", block: int = 1 << 20) -> DataFrame:
     """``docs, parts``: a row for each block of texts of about ``block`` bytes.
 
     ``docs`` has ``(id, parts)`` a text, its parts as indexes into ``parts``, in order; ``parts`` has
@@ -98,7 +100,7 @@ def tokenise_both(docs: DataFrame, words: str, model: str, id_col: str = "doc_id
 
     @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sides = ((encoder(words, True, True), _word_bytes(words)), (piece_encoder(model), _piece_bytes(model)))
+        sides = ((encoder(words, True, True, MEMORY), _word_bytes(words)), (piece_encoder(model, MEMORY), _piece_bytes(model)))
         for batch in batches:
             every = as_strings(batch, "text")
             for lo, hi in by_bytes(every, block):

@@ -245,5 +245,5 @@ def _calibrate(classes: DataFrame, probe: pd.DataFrame, model: Curves, k: int, r
     for used in range(1, curves + 1):
         need = int(np.quantile(closest[:, used - 1], recall, method="higher"))
         options.append((used * min(2 * need + 1, blocks), used, need))
-    _, used, reach = min(options)
+    _, used, reach = min(options, key=lambda o: (o[0], o[2] < blocks, o[1]))  # exact where nothing costs less
     return used, reach

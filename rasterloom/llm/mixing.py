@@ -153,7 +153,7 @@ def mix(
     sizes = materialise(docs.select(F.col(id_col).alias("id"), *_levels(inner), words(F.col(text_col)).alias("n")), folder, "sizes")
     total = sizes.agg(F.sum("n")).first()[0] or 0
     leaves = plan(sizes, list(inner), inner_weights, int(total * share), max_epochs, seed)
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col(id_col).alias("id"), *_levels(inner))
-    out = _copies(rows, leaves, list(inner), seed, words(F.col(f"_row.{text_col}")))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{id_col}`").alias("id"), *_levels(inner))
+    out = _copies(rows, leaves, list(inner), seed, words(F.col("_row")[text_col]))
     taken = out.where("copies > 0").select(F.explode(F.expr("array_repeat(_row, cast(copies as int))")).alias("_row"))
     return taken.select("_row.*")

@@ -204,14 +204,15 @@ class PieceEncoder:
         return pool[source], np.diff(ends[bounds])
 
 
-_encoders: dict[str, PieceEncoder] = {}
+_encoders: dict[tuple, PieceEncoder] = {}
 
 
-def piece_encoder(path: str) -> PieceEncoder:
+def piece_encoder(path: str, memory: int = 500_000) -> PieceEncoder:
     """This worker's encoder for a model file; it lasts as long as the worker."""
-    if path not in _encoders:
-        _encoders[path] = PieceEncoder(path)
-    return _encoders[path]
+    key = (path, memory)
+    if key not in _encoders:
+        _encoders[key] = PieceEncoder(path, memory)
+    return _encoders[key]
 
 
 def list_array(flat: np.ndarray, counts: np.ndarray) -> pa.ListArray:

@@ -146,13 +146,22 @@ SELECT s.doc_id, len(sh)::BIGINT AS n_shingles, m.component_id FROM s JOIN (SELE
 
 OP7_SQL = r"""
 WITH RECURSIVE base AS (SELECT conv_id AS c, turn AS t, role, coalesce(text, '') AS body FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
-raw AS (SELECT c, t, unnest(string_split(body, chr(10))) AS line FROM base),
-norm AS (SELECT c, t, length(regexp_replace(regexp_extract(line, '^(?:[ \t]*>)+'), '[^>]', '', 'g')) AS level,
-    lower(trim(regexp_replace(regexp_replace(line, '^(?:[ \t]*>)+', ''), '[ \t\r]+', ' ', 'g'))) AS h FROM raw),
-lines AS (SELECT c, t, level, h, count(*) AS n FROM norm WHERE h <> '' GROUP BY ALL),
-seen AS (SELECT *, max(CASE WHEN level = 0 THEN t END) OVER (PARTITION BY c, h ORDER BY t RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS origin FROM lines),
-votes AS (SELECT c, t, level, origin, sum(n)::BIGINT AS n FROM seen WHERE level > 0 AND origin IS NOT NULL GROUP BY ALL),
-best AS (SELECT c, t, origin, n FROM votes QUALIFY row_number() OVER (PARTITION BY c, t ORDER BY level, n DESC, origin DESC) = 1),
+read AS MATERIALIZED (SELECT c, t, list_filter(list_transform(string_split(body, chr(10)), lambda x: {'level': length(regexp_replace(regexp_extract(x, '^(?:[ \t]*>)+'), '[^>]', '', 'g')),
+    'norm': replace(lower(trim(regexp_replace(regexp_replace(x, '^(?:[ \t]*>)+', ''), '[ \t\r]+', ' ', 'g'))), chr(1), ' ')}), lambda x: x.norm <> '') AS lines FROM base),
+levels AS (SELECT c, t, lines, unnest(list_distinct(list_transform(lines, lambda x: x.level))) AS level FROM read),
+quoted AS MATERIALIZED (SELECT c, t, level, key, len(string_split(key, chr(10))) AS n FROM (SELECT c, t, level,
+    unnest(string_split(array_to_string(list_transform(lines, lambda x: CASE WHEN x.level = level THEN x.norm ELSE chr(1) END), chr(10)), chr(1))) AS raw FROM levels WHERE level > 0)
+    CROSS JOIN LATERAL (SELECT trim(raw, chr(10)) AS key) WHERE key <> ''),
+lengths AS (SELECT DISTINCT c, n FROM quoted UNION SELECT DISTINCT c, 1 FROM quoted),
+own AS (SELECT c, t, list_transform(list_filter(lines, lambda x: x.level = 0), lambda x: x.norm) AS own FROM read),
+spread AS (SELECT c, t, n, own, unnest(range(1, len(own) - n + 2)) AS p FROM own JOIN lengths USING (c)),
+windows AS (SELECT c, t, array_to_string(own[p:p + n - 1], chr(10)) AS key FROM spread),
+entries AS (SELECT c, t, 0 AS level, 0 AS whole, key, 0 AS n FROM windows UNION ALL SELECT c, t, level, 1, key, n FROM quoted
+    UNION ALL SELECT c, t, level, 0, unnest(string_split(key, chr(10))), 1 FROM quoted),
+counted AS (SELECT c, t, level, whole, key, sum(n)::BIGINT AS n FROM entries GROUP BY ALL),
+seen AS (SELECT *, max(CASE WHEN level = 0 THEN t END) OVER (PARTITION BY c, key ORDER BY t RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS origin FROM counted),
+votes AS (SELECT c, t, level, whole, origin, sum(n)::BIGINT AS n FROM seen WHERE level > 0 AND origin IS NOT NULL GROUP BY ALL),
+best AS (SELECT c, t, origin, n FROM votes QUALIFY row_number() OVER (PARTITION BY c, t ORDER BY level, whole DESC, n DESC, origin DESC) = 1),
 turns AS (SELECT c, t, lag(t) OVER (PARTITION BY c ORDER BY t) AS before FROM (SELECT DISTINCT c, t FROM base)),
 nodes AS (SELECT c, t, coalesce(origin, before) AS reply_to, coalesce(n, 0) AS quoted_lines,
     CASE WHEN origin IS NOT NULL THEN 'quote' WHEN before IS NOT NULL THEN 'previous' ELSE 'start' END AS linked_by FROM turns LEFT JOIN best USING (c, t)),

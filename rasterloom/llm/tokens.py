@@ -177,14 +177,14 @@ class WordEncoder:
         return out, counts
 
 
-_encoders: dict[tuple[str, bool, bool], WordEncoder] = {}
+_encoders: dict[tuple, WordEncoder] = {}
 
 
-def encoder(path: str, plain: bool = False, lead: bool = False) -> WordEncoder:
+def encoder(path: str, plain: bool = False, lead: bool = False, memory: int = 500_000) -> WordEncoder:
     """This worker's encoder for a vocabulary file; it lasts as long as the worker."""
-    key = (path, plain, lead)
+    key = (path, plain, lead, memory)
     if key not in _encoders:
-        _encoders[key] = WordEncoder(path, plain=plain, lead=lead)
+        _encoders[key] = WordEncoder(path, memory, plain, lead)
     return _encoders[key]
 
 

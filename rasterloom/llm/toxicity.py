@@ -214,8 +214,10 @@ def keep_clean(docs: DataFrame, model: FactorizationMachine, threshold: float =
     @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = as_strings(batch, text_col)
+            texts = as_strings(batch, f"c{place}")
             for a, b in by_bytes(texts):
                 yield batch.slice(a, b - a).filter(pa.array(shared.value.scores(texts.slice(a, b - a)) < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    place = docs.columns.index(text_col)
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # names may hold dots
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)

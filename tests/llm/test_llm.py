@@ -456,6 +456,72 @@ def test_quotes_build_a_thread(spark):
     assert quotes.link_quotes(df.limit(0)).count() == 0
 
 
+def brute_origin(turns: list[str], at: int) -> tuple:
+    """The turn that ``turns[at]`` quotes and how many lines, straight from the rule."""
+    def lines(text):
+        out = []
+        for line in text.split("\n"):
+            level, rest = 0, line
+            while rest.lstrip(" \t").startswith(">"):
+                level, rest = level + 1, rest.lstrip(" \t")[1:]
+            norm = " ".join(rest.replace("\t", " ").replace("\r", " ").split(" ")).lower().strip(" ")
+            while "  " in norm:
+                norm = norm.replace("  ", " ")
+            if norm:
+                out.append((level, norm))
+        return out
+
+    own = [[n for v, n in lines(t) if v == 0] for t in turns[:at]]
+    bears = lambda p: max((i for i, o in enumerate(own) if any(o[k : k + len(p)] == p for k in range(len(o) - len(p) + 1))), default=None)
+    mine = lines(turns[at])
+    for level in sorted({v for v, _ in mine if v}):
+        runs, last = [], False
+        for v, n in mine:
+            if v == level:
+                runs = runs if last else [*runs, []]
+                runs[-1].append(n)
+            last = v == level
+        for parts in (runs, [[n] for r in runs for n in r]):
+            votes = {}
+            for p in parts:
+                if bears(p) is not None:
+                    votes[bears(p)] = votes.get(bears(p), 0) + len(p)
+            if votes:
+                n, origin = max((n, o) for o, n in votes.items())
+                return origin, n
+    return None, 0
+
+
+QUOTING = ["hello\nworld", "hello", "> hello\n> world\nok", "> ok", "a\nb\nc", "a\nb", "b\nc", "> a\n> b\n> c\nyes", ">> hello\n> yes\n>> world\n> no such line", "> a\n> x\n> c"]
+
+
+def test_quotations_link_by_whole_passages(spark, duck):
+    """A passage goes to the message that holds all of it, even if later ones repeat its lines."""
+    rng = np.random.default_rng(6)
+    talks = {0: QUOTING}
+    for c in range(1, 25):
+        turns = []
+        for t in range(12):
+            body = [f"line {rng.integers(6)}" for _ in range(rng.integers(1, 5))]
+            for _ in range(int(rng.integers(0, 3)) if t else 0):
+                source = turns[int(rng.integers(t))].split("\n")
+                at = int(rng.integers(len(source)))
+                body = [*("> " + x for x in source[at : at + int(rng.integers(1, 5))]), *body]
+            turns.append("\n".join(body))
+        talks[c] = turns
+    rows = [(c, t, "a", x) for c, turns in talks.items() for t, x in enumerate(turns)]
+    found = quotes.link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    got = {(r["conv_id"], r["turn"]): (r["reply_to"] if r["linked_by"] == "quote" else None, r["quoted_lines"]) for r in found.collect()}
+    assert got == {(c, t): brute_origin(talks[c], t) for c, t, _, _ in rows}
+    assert got[0, 2] == (0, 2) and got[0, 7] == (4, 3)
+    made = duck.cursor()
+    made.execute("CREATE TEMP TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    made.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    want = made.execute(ORACLE["op7_quote_threads"])
+    names = [d[0] for d in want.description]
+    assert sorted(repr(sorted(zip(names, r))) for r in want.fetchall()) == sorted(repr(sorted(r.asDict().items())) for r in found.collect())
+
+
 @pytest.mark.parametrize(
     "text, own",
     [
