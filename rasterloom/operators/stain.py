@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import pixel
+from ..functions.symmetric import at, bind, cross, dot, main_axes, normal, turned, unit
 from ..scratch import materialise, shared_dir
 from .stats import background_intensity, percentiles, with_slide
 
@@ -35,21 +35,44 @@ def density_moments(densities: DataFrame, columns: list[str] = _DENSITY, use: Co
     )
 
 
-def _vectors(low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    """Columns haematoxylin-like, eosin-like and residual, of unit length, from two directions."""
-    pair = [v * (1 if v.sum() >= 0 else -1) / max(np.linalg.norm(v), 1e-12) for v in (low, high)]
-    if pair[0][0] < pair[1][0]:  # haematoxylin absorbs more red
-        pair.reverse()
-    rest = np.cross(*pair)
-    size = np.linalg.norm(rest)
-    return np.stack([*pair, rest / size if size > 1e-9 else np.zeros(3)], 1)
+def _stains(low: Column, high: Column) -> Column:
+    """``(h, e, rest)``: haematoxylin-like, eosin-like and residual, of unit length, from two directions."""
+    def ordered(p: Column) -> Column:  # haematoxylin absorbs more red
+        swap = F.get(p["a"], F.lit(0)) < F.get(p["b"], F.lit(0))
+        return F.struct(F.when(swap, p["b"]).otherwise(p["a"]).alias("h"), F.when(swap, p["a"]).otherwise(p["b"]).alias("e"))
 
+    def whole(p: Column) -> Column:
+        flat = lambda n: dot(at(n), at(n)) <= 1e-18
+        rest = bind(normal(p["h"], p["e"]), lambda n: F.when(flat(n), F.array(*[F.lit(0.0)] * 3)).otherwise(unit(n)))
+        return F.struct(p["h"].alias("h"), p["e"].alias("e"), rest.alias("rest"))
 
-def stain_index(vectors: np.ndarray) -> tuple[int, int]:
-    """Which columns are eosin and haematoxylin: the closest to the published colours, else 1 and 0."""
-    unit = vectors / np.maximum(np.linalg.norm(vectors, axis=0), 1e-12)
-    e, h = (int(np.argmax(np.abs(np.asarray(c) / np.linalg.norm(c) @ unit))) for c in (EOSIN, HEMATOXYLIN))
-    return (1, 0) if e == h or 2 in (e, h) else (e, h)
+    pair = F.struct(turned(unit(low)).alias("a"), turned(unit(high)).alias("b"))
+    return bind(bind(pair, ordered), whole)
+
+
+def _inverse(w: Column) -> Column:
+    """Rows that give the amounts of the three; of parallel stains each takes half."""
+    h, e, rest = (at(w[c]) for c in ("h", "e", "rest"))
+    flat = dot(rest, rest) == 0
+    rows = []
+    for mine, other in ((h, cross(e, rest)), (e, cross(rest, h))):
+        scale = dot(mine, other)
+        rows.append(F.when(flat, F.array(*[c / 2.0 for c in mine])).otherwise(F.array(*[c / scale for c in other])))
+    return F.array(*rows, F.array(*rest))
+
+
+def stain_index(stains: Column) -> Column:
+    """``(e_idx, h_idx)``: which of three vectors is closest to each published colour, else 1 and 0."""
+    def closest(colour: Sequence[float]) -> Column:
+        size = math.sqrt(sum(c * c for c in colour))
+        like = F.transform(stains, lambda v: F.abs(dot([F.lit(c / size) for c in colour], at(v))))
+        return F.array_position(like, F.array_max(like)).cast("int") - 1
+
+    def settled(k: Column) -> Column:
+        unclear = (k["e"] == k["h"]) | (k["e"] == 2) | (k["h"] == 2)
+        return F.struct(F.when(unclear, 1).otherwise(k["e"]).alias("e_idx"), F.when(unclear, 0).otherwise(k["h"]).alias("h_idx"))
+
+    return bind(F.struct(closest(EOSIN).alias("e"), closest(HEMATOXYLIN).alias("h")), settled)
 
 
 def stain_vectors(densities: DataFrame, tissue: Column, least_density: float = 0.15, percent: float = 1.0, by: str = "slide_id") -> DataFrame:
@@ -57,47 +80,30 @@ def stain_vectors(densities: DataFrame, tissue: Column, least_density: float = 0
 
     Tissue pixels whose densities all reach ``least_density`` span a plane (the two main axes of
     their covariance); the extreme directions in it, by percentiles of the angle, are the stains.
-    Pixels are never gathered: two grouped passes give a row a slide, and 3 x 3 algebra runs on those
-    rows. A slide without such pixels gets the published vectors.
+    Pixels are never gathered: two grouped passes give a row a slide, and 3 x 3 algebra, in closed
+    form, runs on those rows. A slide without such pixels gets the published vectors.
     """
     dense = tissue & F.least(*_DENSITY).__ge__(least_density)
     moments = density_moments(densities, use=dense, by=by)
-    kind = dict(densities.dtypes)[by]
-
-    def plane(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            rows = []
-            for r in f.to_dict("records"):
-                c = np.array([[r[f"c{min(i, j)}{max(i, j)}"] for j in range(3)] for i in range(3)], float)
-                if r["n"] < 3 or not np.isfinite(c).all():
-                    rows.append((r[by], None, None))
-                    continue
-                _, axes = np.linalg.eigh(c)
-                two = [v * (1 if v.sum() >= 0 else -1) for v in (axes[:, 2], axes[:, 1])]
-                rows.append((r[by], two[0].tolist(), two[1].tolist()))
-            yield pd.DataFrame(rows, columns=[by, "a1", "a2"])
-
-    planes = moments.mapInPandas(plane, f"{by} {kind}, a1 array<double>, a2 array<double>")
+    matrix = F.array(*[F.col(c) for c in ("c00", "c01", "c02", "c11", "c12", "c22")])
+    planes = moments.withColumn("axes", F.when(F.col("n") >= 3, main_axes(matrix))).select(by, "axes")
     planes = materialise(planes, shared_dir(densities.sparkSession), "planes")
-    dot = lambda a: pixel.concentration([F.col(d) for d in _DENSITY], [F.col(a)[i] for i in range(3)])
-    turned = with_slide(densities.where(dense), planes, by).select(by, F.atan2(dot("a2"), dot("a1")).alias("angle"))
-    angles = percentiles(turned, ["angle"], (percent / 100, 1 - percent / 100), by)
-
-    def solve(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            rows = []
-            for r in f.to_dict("records"):
-                if r["a1"] is None or r["angle_p"] is None:
-                    w = _vectors(np.array(HEMATOXYLIN), np.array(EOSIN))
-                else:
-                    one, two = (np.cos(t) * np.asarray(r["a1"]) + np.sin(t) * np.asarray(r["a2"]) for t in r["angle_p"])
-                    w = _vectors(one, two)
-                e, h = stain_index(w)
-                rows.append((r[by], w.tolist(), np.linalg.pinv(w).tolist(), e, h))
-            yield pd.DataFrame(rows, columns=[by, "stains", "inverse", "e_idx", "h_idx"])
-
-    schema = f"{by} {kind}, stains array<array<double>>, inverse array<array<double>>, e_idx int, h_idx int"
-    return planes.join(angles, by, "left").mapInPandas(solve, schema)
+    density = [F.col(d) for d in _DENSITY]
+    along = lambda a: dot(density, at(F.col(f"axes.{a}")))
+    angled = with_slide(densities.where(dense), planes, by, stored=True).select(by, F.atan2(along("second"), along("first")).alias("angle"))
+    angles = percentiles(angled, ["angle"], (percent / 100, 1 - percent / 100), by)
+
+    def direction(angle: Column) -> Column:
+        pairs = zip(at(F.col("axes.first")), at(F.col("axes.second")))
+        return F.array(*[F.cos(angle) * x + F.sin(angle) * y for x, y in pairs])
+
+    known = F.col("axes").isNotNull() & F.col("angle_p").isNotNull()
+    fixed = [F.array(*[F.lit(c) for c in v]) for v in (HEMATOXYLIN, EOSIN)]
+    ends = [F.when(known, direction(F.get("angle_p", F.lit(i)))).otherwise(fixed[i]) for i in (0, 1)]
+    found = planes.join(angles, by, "left").select(by, _stains(*ends).alias("w"))
+    across = F.array(*[F.array(*[F.get(F.col(f"w.{c}"), F.lit(i)) for c in ("h", "e", "rest")]) for i in range(3)])
+    index = stain_index(F.array("w.h", "w.e", "w.rest"))
+    return found.select(by, across.alias("stains"), _inverse(F.col("w")).alias("inverse"), index.alias("k")).select(by, "stains", "inverse", "k.e_idx", "k.h_idx")
 
 
 def _concentrations(densities: DataFrame) -> DataFrame:
@@ -119,9 +125,9 @@ def stain_params(pixels: DataFrame, background: str = "background", io: float |
     else:
         light = pixels.select(by).distinct().withColumn("io", F.lit(float(io)))
     light = materialise(light, shared_dir(pixels.sparkSession), "io")
-    dense = with_density(with_slide(pixels.select(by, "r", "g", "b", F.coalesce(F.col(background), F.lit(False)).alias("_back")), light, by))
+    dense = with_density(with_slide(pixels.select(by, "r", "g", "b", F.coalesce(F.col(background), F.lit(False)).alias("_back")), light, by, stored=True))
     vectors = materialise(stain_vectors(dense, ~F.col("_back"), by=by), shared_dir(pixels.sparkSession), "vectors")
-    ranges = percentiles(_concentrations(with_slide(dense, vectors, by)), ["_e", "_h", "_od"], (0.01, 0.99), by)
+    ranges = percentiles(_concentrations(with_slide(dense, vectors, by, stored=True)), ["_e", "_h", "_od"], (0.01, 0.99), by)
     out = vectors.join(light, by).join(ranges, by)
     flat = lambda c: F.col(c)[1] <= F.col(c)[0] + 1e-8
     stain = lambda c, i: F.when(flat(c), float(i)).otherwise(F.col(c)[i])

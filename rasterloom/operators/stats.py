@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import pixel
 from ..scratch import materialise, shared_dir
+from .ranks import quantiles
 
 # Bounds of the background intensity and the pixels that each tier needs.
 IO_LOW, IO_HIGH, IO_DEFAULT, IO_PIXELS = 200.0, 255.0, 240.0, 100
@@ -17,40 +18,34 @@ IO_LOW, IO_HIGH, IO_DEFAULT, IO_PIXELS = 200.0, 255.0, 240.0, 100
 def percentiles(rows: DataFrame, columns: Sequence[str], ps: Sequence[float], by: str = "slide_id") -> DataFrame:
     """``by, <column>_p``: exact percentiles (linear interpolation) of each column as an array.
 
-    Equal values are counted before anything is sorted, so what a group sorts is its distinct
-    values: of 8-bit pixels at most 2**24 whatever the slide's size, and the sort can spill. Nulls
-    and NaN don't count; a column with no value has null percentiles.
+    Equal values are counted before anything else, and the counts are written; ranks are then found
+    by histograms (see ``ranks``), so that no task sorts a slide. Nulls and NaN don't count; a
+    column with no value has null percentiles.
     """
-    long = rows.select(by, F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).cast("double").alias("v")) for i, c in enumerate(columns)])).alias("x"))
-    counts = long.select(by, "x.*").where(F.col("v").isNotNull() & ~F.isnan("v")).groupBy(by, "i", "v").agg(F.count(F.lit(1)).alias("n"))
-    group = Window.partitionBy(by, "i")
-    ranked = counts.withColumn("upto", F.sum("n").over(group.orderBy("v"))).withColumn("total", F.sum("n").over(group))
-    picks = []
-    for p in ps:
-        at = F.lit(float(p)) * (F.col("total") - 1)
-        covers = lambda rank: (F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank)
-        low, high = F.max(F.when(covers(F.floor(at)), F.col("v"))), F.max(F.when(covers(F.ceil(at)), F.col("v")))
-        part = F.max(at - F.floor(at))
-        picks.append(low * (F.lit(1.0) - part) + high * part)
-    each = ranked.groupBy(by, "i").agg(F.array(*picks).alias("p"))
+    pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).cast("double").alias("v")) for i, c in enumerate(columns)])
+    long = rows.select(by, F.explode(pairs).alias("x")).select(by, "x.*")
+    counts = long.groupBy(by, "i", "v").agg(F.count(F.lit(1)).alias("n"))
+    counts = materialise(counts, shared_dir(rows.sparkSession), "counts")
+    each = quantiles(counts.where(F.col("v").isNotNull() & ~F.isnan("v")), [by, "i"], ps)
     wide = each.groupBy(by).agg(*[F.max(F.when(F.col("i") == i, F.col("p"))).alias(f"{c}_p") for i, c in enumerate(columns)])
     return wide
 
 
-def with_slide(rows: DataFrame, per_slide: DataFrame, by: str = "slide_id", limit: int = 100_000) -> DataFrame:
+def with_slide(rows: DataFrame, per_slide: DataFrame, by: str = "slide_id", limit: int = 100_000, stored: bool = False) -> DataFrame:
     """``rows`` with a slide's parameters: broadcast up to ``limit`` slides, a shuffle beyond.
 
     The parameters are written first, so that counting them and joining them take one run of
-    what they are made of.
+    what they are made of; not if they are ``stored``, or little work from what is.
     """
-    per_slide = materialise(per_slide, shared_dir(rows.sparkSession), "slides")
+    if not stored:
+        per_slide = materialise(per_slide, shared_dir(rows.sparkSession), "slides")
     small = per_slide.limit(limit + 1).count() <= limit
     return rows.join(F.broadcast(per_slide) if small else per_slide, by, "left")
 
 
 def stretch_u8(rows: DataFrame, columns: Sequence[str], by: str = "slide_id", low: float = 0.01, high: float = 0.99) -> DataFrame:
     """The columns stretched to 0..255 between two percentiles of each slide and channel."""
-    found = with_slide(rows, percentiles(rows, columns, (low, high), by), by)
+    found = with_slide(rows, percentiles(rows, columns, (low, high), by), by, stored=True)
     new = {c: pixel.stretch(F.col(c), F.col(f"{c}_p")[0], F.col(f"{c}_p")[1]) for c in columns}
     return found.withColumns(new).select(*rows.columns)
 

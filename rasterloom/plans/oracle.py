@@ -98,6 +98,45 @@ def _gauss() -> str:
     return "greatest(exp(-((y - wy - 15.5) * (y - wy - 15.5) + (x - wx - 15.5) * (x - wx - 15.5)) / 32.0), 1e-3)"
 
 
+def _stain_estimate(io: str) -> str:
+    """Each step of the stain parameters as a CTE of one row; eigenvalues by the cosine of a third of an angle."""
+    dot = "({a}1 * {b}1 + {a}2 * {b}2 + {a}3 * {b}3)"
+    cross = "{a}2 * {b}3 - {a}3 * {b}2 AS {o}1, {a}3 * {b}1 - {a}1 * {b}3 AS {o}2, {a}1 * {b}2 - {a}2 * {b}1 AS {o}3"
+    scaled = lambda v, o: ", ".join(f"{v}{i} / sqrt({dot.format(a=v, b=v)}) AS {o}{i}" for i in (1, 2, 3))
+    signed = lambda v, o: ", ".join(f"{v}{i} * CASE WHEN {v}1 + {v}2 + {v}3 < 0 THEN -1 ELSE 1 END AS {o}{i}" for i in (1, 2, 3))
+    rows = lambda e: f"c00 - {e} AS p1, c01 AS p2, c02 AS p3, c01 AS q1, c11 - {e} AS q2, c12 AS q3, c02 AS s1, c12 AS s2, c22 - {e} AS s3"
+    kernel = lambda e, o: f"""{o}_rows AS (SELECT {rows(e)} FROM eig),
+{o}_all AS (SELECT {cross.format(a='p', b='q', o='v')} FROM {o}_rows UNION ALL SELECT {cross.format(a='p', b='s', o='v')} FROM {o}_rows UNION ALL SELECT {cross.format(a='q', b='s', o='v')} FROM {o}_rows),
+{o} AS (SELECT {scaled('v', o)} FROM {o}_all ORDER BY {dot.format(a='v', b='v')} DESC LIMIT 1)"""
+    like = lambda w, dye: f"abs({' + '.join(f'{w}{i} * {c}' for i, c in zip((1, 2, 3), dye))})"
+    best = lambda dye: f"CASE WHEN {like('h', dye)} >= {like('e', dye)} AND {like('h', dye)} >= {like('n', dye)} THEN 0 WHEN {like('e', dye)} >= {like('n', dye)} THEN 1 ELSE 2 END"
+    inverse = lambda k: f"CASE {k} WHEN 0 THEN {dot.format(a='i', b='d')} / hi WHEN 1 THEN {dot.format(a='j', b='d')} / ej ELSE {dot.format(a='n', b='d')} END"
+    named = "d0 AS d1, d1 AS d2, d2 AS d3"
+    ends = ", ".join(f"CASE WHEN {c}_hi <= {c}_lo + 1e-8 THEN {v} ELSE round({c}_{n}, 6) END AS {c}_{n}" for c in ("e", "h") for n, v in (("lo", 0.0), ("hi", 1.0)))
+    return f"""WITH {PX}, flags AS MATERIALIZED (SELECT *, val > 0.55 AND sat < 0.5 AS bg FROM (SELECT *, {HSV} FROM px)), light AS (SELECT ({io})::DOUBLE AS io FROM flags),
+den AS MATERIALIZED (SELECT bg, {", ".join(f"{OD.format(c=c, io='io')} AS d{i}" for i, c in enumerate('rgb'))} FROM flags, light),
+dense AS (SELECT {named} FROM den WHERE NOT bg AND least(d0, d1, d2) >= 0.15),
+m AS (SELECT {", ".join(f"covar_pop(d{i + 1}, d{j + 1}) AS c{i}{j}" for i in range(3) for j in range(i, 3))} FROM dense),
+m1 AS (SELECT *, (c00 + c11 + c22) / 3 AS mean FROM m),
+m2 AS (SELECT *, c00 - mean AS x, c11 - mean AS y, c22 - mean AS z, sqrt(((c00 - mean) ** 2 + (c11 - mean) ** 2 + (c22 - mean) ** 2 + 2 * (c01 ** 2 + c02 ** 2 + c12 ** 2)) / 6) AS spread FROM m1),
+m3 AS (SELECT *, acos(greatest(-1, least(1, (x * (y * z - c12 * c12) - c01 * (c01 * z - c12 * c02) + c02 * (c01 * c12 - y * c02)) / spread ** 3 / 2))) / 3 AS angle FROM m2),
+eig AS MATERIALIZED (SELECT *, mean + 2 * spread * cos(angle) AS top, mean + 2 * spread * cos(angle + 2 * pi() / 3) AS low FROM m3),
+{kernel('top', 't')}, {kernel('low', 'l')},
+a AS (SELECT {signed('t', 'a')}, {cross.format(a='l', b='t', o='b')} FROM t, l), ab AS MATERIALIZED (SELECT a1, a2, a3, {signed('b', 'b')} FROM a),
+q AS (SELECT quantile_cont(w, 0.01) AS w0, quantile_cont(w, 0.99) AS w1 FROM (SELECT atan2({dot.format(a='b', b='d')}, {dot.format(a='a', b='d')}) AS w FROM dense, ab)),
+uv0 AS (SELECT {", ".join(f"cos({w}) * a{i} + sin({w}) * b{i} AS {o}{i}" for w, o in (("w0", "u"), ("w1", "v")) for i in (1, 2, 3))} FROM q, ab),
+uv1 AS (SELECT {scaled('u', 'u')}, {scaled('v', 'v')} FROM uv0), uv AS (SELECT {signed('u', 'u')}, {signed('v', 'v')} FROM uv1),
+he AS (SELECT {", ".join(f"CASE WHEN u1 < v1 THEN {y}{i} ELSE {x}{i} END AS {o}{i}" for o, x, y in (("h", "u", "v"), ("e", "v", "u")) for i in (1, 2, 3))} FROM uv),
+hen0 AS (SELECT *, {cross.format(a='h', b='e', o='m')} FROM he), hen AS (SELECT *, {scaled('m', 'n')} FROM hen0),
+w0 AS (SELECT *, {cross.format(a='e', b='n', o='i')}, {cross.format(a='n', b='h', o='j')}, {best((0.07, 0.99, 0.11))} AS ke, {best((0.65, 0.70, 0.29))} AS kh FROM hen),
+w AS MATERIALIZED (SELECT *, {dot.format(a='h', b='i')} AS hi, {dot.format(a='e', b='j')} AS ej, ke = kh OR ke = 2 OR kh = 2 AS unclear FROM w0),
+k AS MATERIALIZED (SELECT *, CASE WHEN unclear THEN 1 ELSE ke END AS e_idx, CASE WHEN unclear THEN 0 ELSE kh END AS h_idx FROM w),
+sep AS (SELECT {inverse('e_idx')} AS e, {inverse('h_idx')} AS h, (d1 + d2 + d3) / 3 AS od FROM (SELECT {named} FROM den), k),
+r AS (SELECT {", ".join(f"quantile_cont({c}, 0.01) AS {c}_lo, quantile_cont({c}, 0.99) AS {c}_hi" for c in ("e", "h", "od"))} FROM sep)
+SELECT round(io, 6) AS io, {", ".join(f"round({c}{i + 1}, 6) AS w{i}{j}" for i in range(3) for j, c in enumerate("hen"))}, e_idx::INT AS e_idx, h_idx::INT AS h_idx,
+    {ends}, round(od_lo, 6) AS od_lo, round(od_hi, 6) AS od_hi FROM light, k, r"""
+
+
 def sql(dims: tuple[int, ...], discs: tuple[int, int], inverse, light: float) -> dict[str, str]:
     img = "img AS (SELECT h, {w} AS w FROM (VALUES " + ", ".join(f"({d})" for d in dims) + ") t(h))"
     dims_1d = "d AS (SELECT dim FROM (VALUES " + ", ".join(f"({d})" for d in dims) + ") t(dim))"
@@ -152,6 +191,7 @@ def sql(dims: tuple[int, ...], discs: tuple[int, int], inverse, light: float) ->
         "eho_pixels": f"WITH {sep}, q AS (SELECT {pct} FROM sep) SELECT y, x, {inverted} FROM sep, q",
         "masked_normalize": f"WITH {PX}, s AS (SELECT y, x, {norm1} FROM px) SELECT y, x, {norm2} FROM s",
         "od_covariance": f"WITH {dense}, k AS (SELECT * FROM (SELECT *, {HSV} FROM den) WHERE NOT (val > 0.55 AND sat < 0.5)) SELECT count(*) AS n, {moments} FROM k",
+        "stain_estimate": _stain_estimate(io),
         "label_rule": f"SELECT vec_id, {label} AS label FROM ({probs})",
         "label_distinct": f"SELECT DISTINCT {label} AS label FROM ({probs}) ORDER BY label",
         "nearest_resize": f"WITH {PX}, o AS (SELECT oy, ox, h, w, h * 3 // 7 AS oh FROM dim, unnest(range(h * 3 // 7)) a(oy), unnest(range(100)) c(ox)) "
