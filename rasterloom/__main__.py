@@ -32,7 +32,7 @@ def scorer(name: str) -> scoring.Scorer:
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="rasterloom", description="Label slides, or summarise resource samples.")
     commands = top.add_subparsers(dest="command", required=True)
-    images = commands.add_parser("images", help="label PGM and PPM files")
+    images = commands.add_parser("images", help="label TIFF, PGM and PPM files")
     store = commands.add_parser("store", help="label the slides of a tiled store")
     for p in (images, store):
         p.add_argument("--input", required=True)
@@ -42,7 +42,7 @@ def parser() -> argparse.ArgumentParser:
         p.add_argument("--save-image", help="where the separated image goes")
         p.add_argument("--roi", type=int, default=2048)
         p.add_argument("--overlap", type=float, default=0.25)
-    images.add_argument("--mpp", type=float, help="resolution of all images")
+    images.add_argument("--mpp", type=float, help="resolution of all images, in place of what their heads say")
     images.add_argument("--no-tissue-mask", action="store_true")
     store.add_argument("--levels", required=True, help=f"CSV with a header: {LEVELS}")
     store.add_argument("--tile", type=int, default=2048)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import gate, grid, neighbourhood, pyramid, scoring, stain, stats
 from ..operators.background import detect_background
 from ..scratch import materialise, shared_dir
-from ..sources import raster
+from ..sources import files, raster
 from .segment import label_image, preprocess
 
 RGB = ["r", "g", "b"]
@@ -29,19 +29,22 @@ def segment_images(
     spark: SparkSession, path: str, output: str, scorer: scoring.Scorer, target_mpp: float = 1.0, mpp: float | None = None, resolutions: DataFrame | None = None,
     save_image: str | None = None, roi: int = 2048, overlap: float = 0.25, apply_tissue_mask: bool = True,
 ) -> DataFrame:
-    """Label the image files at ``path``, write ``slide_id, y, x, label`` to ``output`` and return it.
+    """Label the TIFF, PGM and PPM files at ``path``, write ``slide_id, y, x, label`` to ``output`` and return it.
 
     Images are brought to ``target_mpp`` micrometres a pixel (Lanczos) and the labels back to the
-    original size (nearest pixel). An image's resolution is ``mpp`` if given, else what
-    ``resolutions(slide_id, mpp_x, mpp_y)`` has for both axes, else its pixels are taken as they are.
+    original size (nearest pixel). Sizes come from the files' heads. An image's resolution is ``mpp``
+    if given, else what ``resolutions(slide_id, mpp_x, mpp_y)`` has for both axes if that is given, else
+    what its head has, else its pixels are taken as they are.
     ``save_image``: where the separated image (``e, h, od``) is written too.
     """
     folder = shared_dir(spark)
-    pixels = materialise(raster.read_images(spark, path), folder, "pixels")
-    sizes = pixels.groupBy("slide_id").agg((F.max("y") + 1).alias("h0"), (F.max("x") + 1).alias("w0"))
-    if mpp is not None or resolutions is None:
-        sizes = sizes.withColumns({c: F.lit(float(mpp)) if mpp is not None else F.lit(None).cast("double") for c in ("mpp_x", "mpp_y")})
-    else:
+    pixels, known = files.read_images(spark, path)
+    pixels = materialise(pixels, folder, "pixels")
+    sizes = known.where("level_idx = 0").select("slide_id", F.col("size_y").alias("h0"), F.col("size_x").alias("w0"), "mpp_x", "mpp_y")
+    if mpp is not None:
+        sizes = sizes.withColumns({c: F.lit(float(mpp)) for c in ("mpp_x", "mpp_y")})
+    elif resolutions is not None:
+        sizes = sizes.drop("mpp_x", "mpp_y")
         sizes = sizes.join(resolutions.select("slide_id", *[F.expr(f"if({c} > 0, cast({c} as double), null)").alias(c) for c in ("mpp_x", "mpp_y")]), "slide_id", "left")
     fits = [F.abs(F.col(c) / target_mpp - 1) < SAME for c in ("mpp_x", "mpp_y")]
     near = F.col("mpp_x").isNull() | F.col("mpp_y").isNull() | (fits[0] & fits[1])
