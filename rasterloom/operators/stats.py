@@ -99,13 +99,28 @@ def lag_rate(samples: DataFrame, time: str, value: str, by: Sequence[str], order
     """``rate``: the change of ``value`` for each second since the sample before, times ``scale``.
 
     0 where no time has passed. The first sample of a group compares with ``start`` (time, value),
-    or has no rate.
+    or has no rate. Samples are dealt by ranges of group and time, so a long series lies in many
+    parts; a part is worked on by itself, and gets the last sample of the part before it. Null
+    groups are a group, and samples without a time come first.
     """
-    w = Window.partitionBy(*by).orderBy(time, *order)
     t, v = F.col(time).cast("double"), F.col(value).cast("double")
-    first = [F.lit(x).cast("double") for x in (start or (None, None))]
-    dt, dv = t - F.coalesce(F.lag(t).over(w), first[0]), v - F.coalesce(F.lag(v).over(w), first[1])
-    return samples.withColumn("rate", F.when(dt > 0, F.lit(scale) * dv / dt).when(dt.isNotNull(), 0.0))
+    ranged = samples.repartitionByRange(*[F.col(c) for c in (*by, time, *order)]).withColumn("_part", F.spark_partition_id())
+    parts = materialise(ranged, shared_dir(samples.sparkSession), "series")
+    last = F.max_by(F.struct(t.alias("t"), v.alias("v")), F.struct(time, *order))
+    ends = parts.groupBy("_part", *by).agg(last.alias("_end"))  # a row a part of a group
+    ends = ends.withColumn("_before", F.lag("_end").over(Window.partitionBy(*by).orderBy("_part"))).select(
+        F.col("_part").alias("_p"), *[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)], "_before"
+    )
+    same = F.col("_part") == F.col("_p")
+    for i, c in enumerate(by):
+        same = same & F.col(c).eqNullSafe(F.col(f"_by{i}"))
+    w = Window.partitionBy("_part", *by).orderBy(time, *order)
+    found = parts.join(ends, same, "left").withColumn("_first", F.row_number().over(w) == 1)
+    before = lambda c, x, other: F.coalesce(F.when(F.col("_first"), F.col("_before")[c]).otherwise(F.lag(x).over(w)), F.lit(other).cast("double"))
+    dt, dv = (x - before(c, x, other) for c, x, other in zip("tv", (t, v), start or (None, None)))
+    found = found.withColumn("_dt", dt).withColumn("_dv", dv)
+    rate = F.when(F.col("_dt") > 0, F.lit(scale) * F.col("_dv") / F.col("_dt")).when(F.col("_dt").isNotNull(), 0.0)
+    return found.select(*samples.columns, rate.alias("rate"))
 
 
 def tile_counters(tiles: DataFrame, tissue: str = "tissue", by: str = "slide_id") -> DataFrame:

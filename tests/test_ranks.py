@@ -9,6 +9,27 @@ from pyspark.sql import functions as F
 from rasterloom.functions.symmetric import eigenvalues, main_axes
 from rasterloom.operators import ranks, stats
 
+
+def test_rates_of_one_long_series(spark):
+    """A series lies in many parts, and each part's first sample compares with the part before."""
+    rng = np.random.default_rng(7)
+    rows = [(g, int(k), float(rng.integers(0, 400)), float(rng.integers(0, 50))) for g, n in (("long", 3000), ("short", 3), ("one", 1), (None, 40)) for k in range(n)]
+    df = spark.createDataFrame([*rows, ("short", 9, None, 1.0)], "g string, k int, t double, v double").repartition(4)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = stats.lag_rate(df, "t", "v", ["g"], ["k"], scale=10.0, start=(-1.0, 5.0))
+        got = {(r["g"], r["k"]): r["rate"] for r in found.collect()}
+        spread = found.groupBy(F.spark_partition_id()).count().count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    want = {("short", 9): None}
+    for g in {r[0] for r in rows}:
+        last = (-1.0, 1.0 if g == "short" else 5.0)  # what follows a sample without a time compares with the start
+        for _, k, t, v in sorted((r for r in rows if r[0] == g), key=lambda r: (r[2], r[1])):
+            want[g, k] = 10.0 * (v - last[1]) / (t - last[0]) if t > last[0] else 0.0
+            last = (t, v)
+    assert got == pytest.approx(want) and spread > 1
+
 ODD = [0.0, 5e-324, -5e-324, 2.0**-1022, -(2.0**-1022), 2.2250738585072009e-308, 1.0, -1.0, 1.9999999999999998, 2.0, 2.0000000000000004, 1e308, -1e308, 1.7976931348623157e308, float("inf"), float("-inf"), 0.1, 1e-300]
 
 
