@@ -22,7 +22,7 @@ from .tokens import UNSURE, encoder
 #: Pairs of ids that are broadcast, at most; the others are joined by a shuffle.
 BROADCAST_PAIRS = 500_000
 #: Parts whose ids a worker remembers for each tokenizer: two of them share its memory here.
-MEMORY = 200_000
+MEMORY = 320_000
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -86,7 +86,7 @@ def _parts(texts: pa.Array) -> pa.ListArray:
     return pa.concat_arrays([easy, hard]).take(pa.array(place))
 
 
-def tokenise_both(docs: DataFrame, words: str, model: str, id_col: str = "doc_id", text_col: str = "text", block: int = 1 << 20) -> DataFrame:
+def tokenise_both(docs: DataFrame, words: str, model: str, id_col: str = "doc_id", text_col: str = "text", block: int = 1 << 21) -> DataFrame:
     """``docs, parts``: a row for each block of texts of about ``block`` bytes.
 
     ``docs`` has ``(id, parts)`` a text, its parts as indexes into ``parts``, in order; ``parts`` has
