@@ -161,26 +161,13 @@ def _places(ends: Column, cuts: Column) -> Column:
     return F.transform(cut, lambda x: low(x).cast("int"))
 
 
-def groups(a_end: Column, b_end: Column) -> Column:
-    """Offsets where tokens of both sides end cut them into groups: ``(a_from, a_to, b_from, b_to)``.
+def _packed(a: Column, b: Column) -> Column:
+    return F.shiftleft(a.cast("long"), 32) + b.cast("long")
 
-    Indexes are from 0, ends included; empty arrays have no groups. The last tokens of a group's
-    two sides end together, and no others do. Work is that of sorting the offsets.
-    """
-    cuts = F.array_intersect(a_end, b_end)
-
-    def of(at: Column) -> Column:
-        k = F.when(F.size(at["a"]) > 0, F.sequence(F.lit(0), F.size(at["a"]) - 1)).otherwise(F.array().cast("array<int>"))
-        begin = lambda side, i: F.when(i > 0, F.get(at[side], i - 1) + 1).otherwise(0)
-        end = lambda side, i: F.get(at[side], i)
-        return F.transform(k, lambda i: F.struct(begin("a", i).alias("a_from"), end("a", i).alias("a_to"), begin("b", i).alias("b_from"), end("b", i).alias("b_to")))
-
-    return _let(F.struct(_places(a_end, cuts).alias("a"), _places(b_end, cuts).alias("b")), of)
 
-
-def links(groups: Column, a: Column, b: Column) -> Column:
-    """The ids of each group's last tokens, A's in the upper and B's in the lower 32 bits."""
-    return F.transform(groups, lambda g: F.shiftleft(F.get(a, g["a_to"]).cast("long"), 32) + F.get(b, g["b_to"]).cast("long"))
+def _ids(ids: Column, lo: Column, hi: Column) -> Column:
+    """The decimal ids from ``lo`` to ``hi``, joined by commas."""
+    return F.when(lo == hi, F.get(ids, lo).cast("string")).otherwise(F.array_join(F.slice(ids, lo + 1, hi - lo + 1), ","))
 
 
 def align(tokens: DataFrame) -> DataFrame:
@@ -188,11 +175,25 @@ def align(tokens: DataFrame) -> DataFrame:
 
     ``groups`` is ``a1,a2|b1;a3|b2,b3``: the ids of both sides, group by group; ``pairs`` are the
     packed ids of tokens that end together. A block's distinct parts are aligned once, and a text's
-    groups are those of its parts in order, as every part ends a token on both sides.
+    groups are those of its parts in order, as every part ends a token on both sides. Offsets where
+    tokens of both sides end cut a part into groups; the last tokens of a group's two sides end
+    together, and no others do. Work is that of sorting the offsets.
     """
     def part(t: Column) -> Column:
-        whole = lambda g: F.struct(groups_text(g, t["a"], t["b"]).alias("text"), links(g, t["a"], t["b"]).alias("pairs"), F.size(t["a"]).alias("a"), F.size(t["b"]).alias("b"))
-        return _let(groups(t["a_end"], t["b_end"]), whole)
+        def of(at: Column) -> Column:
+            begin = lambda side, i: F.when(i > 0, F.get(at[side], i - 1) + 1).otherwise(0)
+            group = lambda hi, i: F.concat(_ids(t["a"], begin("a", i), hi), F.lit("|"), _ids(t["b"], begin("b", i), F.get(at["b"], i)))
+            pair = lambda hi, i: _packed(F.get(t["a"], hi), F.get(t["b"], F.get(at["b"], i)))
+            return F.struct(F.array_join(F.transform(at["a"], group), ";").alias("text"), F.transform(at["a"], pair).alias("pairs"), *sizes)
+
+        n_a, n_b = F.size(t["a"]), F.size(t["b"])
+        sizes = [n_a.alias("a"), n_b.alias("b")]
+        one = F.concat(F.array_join(t["a"], ","), F.lit("|"), F.array_join(t["b"], ","))
+        whole = F.struct(one.alias("text"), F.array(_packed(F.get(t["a"], n_a - 1), F.get(t["b"], n_b - 1))).alias("pairs"), *sizes)
+        cuts = F.array_intersect(t["a_end"], t["b_end"])
+        places = lambda c: F.struct(_places(t["a_end"], c).alias("a"), _places(t["b_end"], c).alias("b"))
+        several = _let(_let(cuts, places), of)
+        return F.when((n_a == 1) & (n_b > 0) | (n_b == 1) & (n_a > 0), whole).otherwise(several)  # one token can't be cut
 
     def text(d: Column, every: Column) -> Column:
         each = F.transform(d["parts"], lambda i: F.get(every, i))
@@ -205,13 +206,6 @@ def align(tokens: DataFrame) -> DataFrame:
     return tokens.select(F.inline(whole))
 
 
-def groups_text(groups: Column, a: Column, b: Column) -> Column:
-    """``a1,a2|b1;a3|b2,b3``: the ids of both sides, group by group; empty without groups."""
-    some = lambda ids, lo, hi: F.array_join(F.slice(ids, lo + 1, hi - lo + 1), ",")
-    side = lambda ids, lo, hi: F.when(lo == hi, F.get(ids, lo).cast("string")).otherwise(some(ids, lo, hi))
-    return F.array_join(F.transform(groups, lambda g: F.concat(side(a, g["a_from"], g["a_to"]), F.lit("|"), side(b, g["b_from"], g["b_to"]))), ";")
-
-
 def pair_counts(rows: DataFrame) -> DataFrame:
     """``pair, n, best`` of a column ``pairs`` of packed id pairs: how often each occurs, and whether
     no pair of the same B id occurs oftener. Counted on the map side before anything is shuffled."""
