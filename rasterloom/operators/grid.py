@@ -94,8 +94,25 @@ def output_size(level_size: Column, level_mpp: Column, target_mpp: Column) -> Co
     return F.greatest(F.lit(1), F.rint(level_size * (level_mpp / target_mpp)).cast("int"))
 
 
-def level_span(origin: Column, length: Column, out_size: Column, level_size: Column) -> Column:
-    """``struct(lo, hi)`` in level pixels of a span in output pixels, halves to even, within the level."""
+def level_span(origin: Column, length: Column, out_size: Column, level_size: Column, reach: int = 0) -> Column:
+    """``struct(lo, hi)`` in level pixels of a span in output pixels, halves to even, within the level.
+
+    ``reach``: how far a resampling kernel reaches beyond, in pixels of the coarser of both grids.
+    """
     scale = level_size / out_size.cast("double")
-    lo, hi = F.rint(origin * scale).cast("int"), F.least(level_size, F.rint((origin + length) * scale).cast("int"))
+    more = F.lit(reach) * F.ceil(F.greatest(F.lit(1.0), scale))
+    lo = F.greatest(F.lit(0), (F.rint(origin * scale) - more).cast("int"))
+    hi = F.least(level_size, (F.rint((origin + length) * scale) + more).cast("int"))
     return F.struct(lo.alias("lo"), hi.alias("hi"))
+
+
+def morton(i: Column, j: Column) -> Column:
+    """The rank of row ``i`` and column ``j`` along a Morton curve: their bits in turn, 31 of each."""
+
+    def spread(v: Column) -> Column:
+        v = v.cast("long")
+        for step, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
+            v = v.bitwiseOR(F.shiftleft(v, step)).bitwiseAND(F.lit(mask))
+        return v
+
+    return F.shiftleft(spread(i), 1).bitwiseOR(spread(j))

@@ -104,3 +104,12 @@ def stitch(domain: DataFrame, tile_pixels: DataFrame, value: str = "label", defa
     """``by, y, x, value`` for every pixel of ``domain``: from the tile that keeps it, else ``default``."""
     kept = keep_part(tile_pixels).select(by, "y", "x", value)
     return domain.select(by, "y", "x").join(kept, [by, "y", "x"], "left").select(by, "y", "x", F.coalesce(value, F.lit(default)).alias(value))
+
+
+def canvas(domain: DataFrame, tile_pixels: DataFrame, values: list[str], default: int = 255, by: str = "slide_id") -> DataFrame:
+    """``by, y, x, values`` for every pixel of ``domain``: from the whole tiles over it, else ``default``.
+
+    Overlapping tiles are taken to agree; where they don't, the largest value counts.
+    """
+    seen = tile_pixels.groupBy(by, "y", "x").agg(*[F.max(v).alias(v) for v in values])
+    return domain.select(by, "y", "x").join(seen, [by, "y", "x"], "left").select(by, "y", "x", *[F.coalesce(v, F.lit(default)).alias(v) for v in values])

@@ -12,6 +12,7 @@ from ..sources import files, raster
 from .segment import label_image, preprocess
 
 RGB = ["r", "g", "b"]
+BOX = ["oy0", "ox0", "oh", "ow"]
 SAME = 1e-6
 
 
@@ -58,15 +59,27 @@ def segment_images(
     return spark.read.schema("y int, x int, label int, slide_id string").parquet(output)
 
 
-def _background_light(pixels: DataFrame, images: DataFrame, thumbnail: DataFrame, tile: int, count: int) -> DataFrame:
-    """``slide_id, io`` from ``count`` tiles without tissue, or the thumbnail where a slide has none."""
+def _empty_tiles(images: DataFrame, thumbnail: DataFrame, tile: int, count: int) -> DataFrame:
+    """``slide_id, oy0, ox0, oh, ow`` of ``count`` tiles without tissue of each slide, where it has them."""
     tiles = gate.gate_tiles(grid.tile_grid(images, grid.Grid(tile, 0)), thumbnail, least=0.001)
-    picked = grid.strided_pick(tiles.where("not tissue"), count).select("slide_id", "oy0", "ox0", "oh", "ow")
-    empty = scoring.tiles_of(pixels, picked, tile, tile).select("slide_id", *RGB, F.lit(True).alias("background"))
-    measured = stats.background_intensity(empty).withColumnRenamed("io", "_io")
+    return grid.strided_pick(tiles.where("not tissue"), count).select("slide_id", *BOX)
+
+
+def _background_light(pixels: DataFrame, empty: DataFrame, thumbnail: DataFrame, tile: int) -> DataFrame:
+    """``slide_id, io`` from tiles without tissue, or the thumbnail where a slide has none."""
+    found = scoring.tiles_of(pixels, empty, tile, tile).select("slide_id", *RGB, F.lit(True).alias("background"))
+    measured = stats.background_intensity(found).withColumnRenamed("io", "_io")
     return stats.background_intensity(thumbnail).join(measured, "slide_id", "left").select("slide_id", F.coalesce("_io", "io").alias("io"))
 
 
+def level_regions(tiles: DataFrame, images: DataFrame, reach: int = 3) -> DataFrame:
+    """``slide_id, y0, y1, x0, x1``: what linear zoom needs of a level of ``size_y`` x ``size_x`` for tiles of ``h`` x ``w``."""
+    placed = stats.with_slide(tiles.select("slide_id", *BOX), images.select("slide_id", "h", "w", "size_y", "size_x"), stored=True)
+    span = lambda o, n, out, size: grid.level_span(F.col(o), F.col(n), F.col(out), F.col(size), reach)
+    spans = placed.select("slide_id", span("oy0", "oh", "h", "size_y").alias("_y"), span("ox0", "ow", "w", "size_x").alias("_x"))
+    return spans.select("slide_id", F.col("_y.lo").alias("y0"), F.col("_y.hi").alias("y1"), F.col("_x.lo").alias("x0"), F.col("_x.hi").alias("x1"))
+
+
 def segment_store(
     spark: SparkSession, store: str, levels: DataFrame, output: str, scorer: scoring.Scorer, target_mpp: float = 1.0, tile: int = 2048, tile_overlap: int = 128,
     roi: int = 2048, overlap: float = 0.25, tissue_only: bool = True, background_tiles: int = 4, thumbnail_edge: int = 2000, least_tissue: float = 0.01, save_image: str | None = None,
@@ -78,6 +91,8 @@ def segment_store(
     thumbnail shows where tissue is and gives the stain parameters; tiles without tissue give the
     light. Tiles over at least ``least_tissue`` tissue (all, if not ``tissue_only``) are scored on
     their own and keep their part; every other pixel has label 0. Labels stay in the target's size.
+    Of the level only the stored tiles under tiles to score, and under those for the light, are read.
+    ``save_image``: where the separated image (``e, h, od``) of scored tiles is written, 255 elsewhere.
     """
     folder = shared_dir(spark)
     known = levels.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(1.0)) for c in ("mpp_x", "mpp_y")})
@@ -90,27 +105,29 @@ def segment_store(
 
     thumbnail = materialise(raster.read_levels(spark, store, coarse), folder, "thumbnail")
     thumbnail = materialise(detect_background(thumbnail).withColumn("tissue", ~F.col("background")), folder, "mask")
-    pixels = _resized(raster.read_levels(spark, store, images), images.withColumnsRenamed({"size_y": "h0", "size_x": "w0"}), neighbourhood.linear_taps)
-    pixels = materialise(pixels, folder, "pixels")
     extent = images.select("slide_id", "h", "w", "th", "tw")
-    light = materialise(_background_light(pixels, extent, thumbnail, tile, background_tiles), folder, "light")
-    params = materialise(stain.stain_params(thumbnail, io=light), folder, "params")
-
     cut = grid.Grid(tile, tile_overlap)
     tiles = grid.tile_grid(extent, cut)
     if tissue_only:
         tiles = gate.gate_tiles(tiles, thumbnail, least=least_tissue).where("tissue").drop("n_px", "n_tissue", "tissue_fraction", "tissue")
     tiles = materialise(tiles.drop("h", "w", "th", "tw").withColumn("tile_id", F.concat_ws("/", "slide_id", "ri", "ci")), folder, "tiles")
+    empty = materialise(_empty_tiles(extent, thumbnail, tile, background_tiles), folder, "empty")
+    regions = level_regions(tiles.select("slide_id", *BOX).unionByName(empty), images)
+    # pixels along the border of what is read lack a part of their kernel; they lie outside the tiles
+    pixels = _resized(raster.read_levels(spark, store, images, regions=regions), images.withColumnsRenamed({"size_y": "h0", "size_x": "w0"}), neighbourhood.linear_taps)
+    pixels = materialise(pixels, folder, "pixels")
+    light = materialise(_background_light(pixels, empty, thumbnail, tile), folder, "light")
+    params = materialise(stain.stain_params(thumbnail, io=light), folder, "params")
     image = stain.apply_params(pixels, params)
+    domain = extent.select("slide_id", F.explode(F.sequence(F.lit(0), F.col("h") - 1)).alias("y"), "w").withColumn("x", F.explode(F.sequence(F.lit(0), F.col("w") - 1)))
+    inside = scoring.tiles_of(image, tiles.select("slide_id", "tile_id", *BOX), tile, cut.stride)
     if save_image:
-        image.write.mode("overwrite").partitionBy("slide_id").parquet(save_image)
-    inside = scoring.tiles_of(image, tiles.select("slide_id", "tile_id", "oy0", "ox0", "oh", "ow"), tile, cut.stride)
+        scoring.canvas(domain, inside, ["e", "h", "od"]).write.mode("overwrite").partitionBy("slide_id").parquet(save_image)
     inside = inside.select("tile_id", (F.col("y") - F.col("oy0")).alias("y"), (F.col("x") - F.col("ox0")).alias("x"), "e", "h", "od", "oh", "ow")
     inside = materialise(inside, folder, "tile-pixels")
     extents = tiles.select("tile_id", "oh", "ow")
     ready = stats.with_slide(stats.normalise(inside.select("tile_id", "y", "x", "e", "h", "od"), ["e", "h", "od"], "tile_id"), extents, "tile_id")
     scored = scoring.labels(scoring.score_windows(ready, ["e", "h", "od"], scorer, roi, overlap, height="oh", width="ow", by="tile_id"), by="tile_id")
     placed = stats.with_slide(scored, tiles, "tile_id").withColumns({"y": F.col("y") + F.col("oy0"), "x": F.col("x") + F.col("ox0")})
-    domain = extent.select("slide_id", F.explode(F.sequence(F.lit(0), F.col("h") - 1)).alias("y"), "w").withColumn("x", F.explode(F.sequence(F.lit(0), F.col("w") - 1)))
     raster.write_labels(scoring.stitch(domain, placed), output)
     return spark.read.schema("y int, x int, label int, slide_id string").parquet(output)

@@ -1,7 +1,9 @@
 """Where pixels come from and go to: adapters, image files and tiled stores.
 
 A pixel table has ``slide_id, y, x`` and a column a channel. A tile store is Parquet, partitioned
-by slide and level, with the tile's place in plain columns: a region reaches the scan as filters.
+by slide, level and cell, with the tile's place in plain columns: a region reaches the scan as
+filters. A cell holds 64 neighbouring tiles, a range of their order along a Morton curve; its name is
+a hash with slide and level, so that one set of names prunes the cells of many slides at once.
 """
 
 from __future__ import annotations
@@ -10,14 +12,20 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import pixel
+from ..operators.grid import morton
 from ..operators.pyramid import thumbnail_level
+from ..operators.stats import with_slide
+from ..scratch import materialise, shared_dir
 
 PIXELS = "slide_id string, y int, x int, r int, g int, b int"
 TILES = "slide_id string, level_idx int, channel int, oy0 int, ox0 int, oh int, ow int, pixels binary"
+STORED = TILES + ", edge int, z long, cell long"
+EDGE = 512
+PLACE = ["slide_id", "level_idx", "z"]
 
 
 def embedding_raster(embeddings: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", slide: str = "embeddings") -> DataFrame:
@@ -83,8 +91,16 @@ def read_images(spark: SparkSession, path: str) -> DataFrame:
     return files.mapInPandas(run, PIXELS)
 
 
-def write_tiles(pixels: DataFrame, path: str, tile: int = 512, level_idx: int = 0, channels: Sequence[str] = ("r", "g", "b")) -> None:
-    """Write a level of 8-bit channels as tiles; missing pixels are white. Other levels are kept."""
+def _placed(tiles: DataFrame, i: Column, j: Column) -> DataFrame:
+    """All columns with ``z``, the tile's rank along the curve, and ``cell``, the folder it lies in."""
+    return tiles.withColumn("z", morton(i, j)).withColumn("cell", F.xxhash64("slide_id", "level_idx", F.shiftright("z", 6)))
+
+
+def write_tiles(pixels: DataFrame, path: str, tile: int = EDGE, level_idx: int = 0, channels: Sequence[str] = ("r", "g", "b")) -> None:
+    """Write a level of 8-bit channels as tiles; missing pixels are white. Other levels are kept.
+
+    A level of a slide has tiles of one size. A cell is written by one task, in the curve's order.
+    """
     long = pixels.select("slide_id", "y", "x", F.posexplode(F.array(*channels)).alias("channel", "v"))
     place = long.withColumn("oy0", F.expr(f"y - y % {tile}")).withColumn("ox0", F.expr(f"x - x % {tile}"))
 
@@ -95,7 +111,9 @@ def write_tiles(pixels: DataFrame, path: str, tile: int = 512, level_idx: int =
         return pd.DataFrame({"slide_id": [key[0]], "level_idx": level_idx, "channel": key[1], "oy0": key[2], "ox0": key[3], "oh": body.shape[0], "ow": body.shape[1], "pixels": [body.tobytes()]})
 
     tiles = place.groupBy("slide_id", "channel", "oy0", "ox0").applyInPandas(run, TILES)
-    tiles.write.mode("append").partitionBy("slide_id", "level_idx").parquet(path)
+    tiles = _placed(tiles.withColumn("edge", F.lit(tile)), F.expr("oy0 div edge"), F.expr("ox0 div edge"))
+    tiles = tiles.repartition("slide_id", "cell").sortWithinPartitions("slide_id", "level_idx", "cell", "z", "channel")
+    tiles.write.mode("append").partitionBy("slide_id", "level_idx", "cell").parquet(path)
 
 
 def read_region(spark: SparkSession, path: str, slide_id: str, level_idx: int, y0: int, y1: int, x0: int, x1: int, channels: Sequence[str] = ("r", "g", "b")) -> DataFrame:
@@ -123,35 +141,68 @@ def read_region(spark: SparkSession, path: str, slide_id: str, level_idx: int, y
     return domain.join(wide, ["y", "x"], "left").select(F.lit(slide_id).alias("slide_id"), "y", "x", *[F.coalesce(c, F.lit(255)).alias(c) for c in channels])
 
 
-def read_levels(spark: SparkSession, path: str, wanted: DataFrame, channels: Sequence[str] = ("r", "g", "b"), limit: int = 100_000) -> DataFrame:
+def tiles_under(levels: DataFrame, regions: DataFrame | None = None) -> DataFrame:
+    """``slide_id, level_idx, z, cell, oy0, ox0, oh, ow``: the stored tiles that regions touch, each once.
+
+    ``levels`` has ``slide_id, level_idx, size_y, size_x, edge``, one level a slide; ``regions`` has
+    ``slide_id, y0, y1, x0, x1`` (ends exclusive) in pixels of that level and may overlap or reach
+    beyond it. Without regions every tile of the level is meant.
+    """
+    whole = {"y0": F.lit(0), "y1": F.col("size_y"), "x0": F.lit(0), "x1": F.col("size_x")}
+    rows = levels.withColumns(whole) if regions is None else levels.join(regions.select("slide_id", *whole), "slide_id")
+    ends = lambda lo, hi, size: F.sequence(F.expr(f"greatest({lo}, 0) div edge"), F.expr(f"(least({hi}, {size}) - 1) div edge"))
+    rows = rows.where("least(y1, size_y) > greatest(y0, 0) and least(x1, size_x) > greatest(x0, 0)")
+    rows = rows.withColumn("_i", F.explode(ends("y0", "y1", "size_y"))).withColumn("_j", F.explode(ends("x0", "x1", "size_x")))
+    rows = rows.select("slide_id", "level_idx", "size_y", "size_x", "edge", "_i", "_j").distinct()
+    rows = _placed(rows, F.col("_i"), F.col("_j")).withColumns({"oy0": F.expr("cast(_i * edge as int)"), "ox0": F.expr("cast(_j * edge as int)")})
+    clipped = [F.expr(f"cast(least(edge, {size} - {o}) as int)").alias(n) for size, o, n in (("size_y", "oy0", "oh"), ("size_x", "ox0", "ow"))]
+    return rows.select(*PLACE, "cell", "oy0", "ox0", *clipped)
+
+
+def _edges(stored: DataFrame, levels: DataFrame) -> DataFrame:
+    """``levels`` with ``edge``, the size of their tiles in the store: one narrow column is read."""
+    found = with_slide(stored.select("slide_id", "level_idx", "edge"), levels.select("slide_id", F.col("level_idx").alias("_l")), stored=True)
+    found = found.where("level_idx = _l").groupBy("slide_id").agg(F.max("edge").alias("edge"))
+    return levels.join(found, "slide_id", "left").fillna(EDGE, "edge")
+
+
+def read_levels(
+    spark: SparkSession, path: str, wanted: DataFrame, channels: Sequence[str] = ("r", "g", "b"), regions: DataFrame | None = None, limit: int = 300_000,
+) -> DataFrame:
     """``slide_id, y, x, channels`` of one level of each slide of ``wanted(slide_id, level_idx, size_y, size_x)``.
 
-    Slides and levels prune folders. A tile's channels meet before they are unpacked, so packed
-    bytes are shuffled rather than pixels. What the store doesn't have is white; slides whose tiles
-    cover the level, by their sizes, need no join for that.
+    With ``regions`` (see ``tiles_under``) only tiles that a region touches are read, each once and
+    with all its pixels; the cells of other tiles are not opened. A tile's channels meet before
+    they are unpacked, so packed bytes are shuffled rather than pixels. What the store doesn't have
+    is white; pixels beyond the level's size are left out. The list of tiles is broadcast up to
+    ``limit`` rows, then that of cells; beyond, both sides are shuffled.
     """
-    level = wanted.select("slide_id", "level_idx")
-    level = F.broadcast(level) if level.limit(limit + 1).count() <= limit else level
-    stored = spark.read.schema(TILES).parquet(path).where(F.col("channel").isin(list(range(len(channels))))).join(level, ["slide_id", "level_idx"])
-    place = ["slide_id", "oy0", "ox0", "oh", "ow"]
+    small = lambda rows: rows.limit(limit + 1).count() <= limit
+    hint = lambda rows: F.broadcast(rows) if small(rows) else rows
+    stored = spark.read.schema(STORED).parquet(path)
+    levels = _edges(stored, wanted.select("slide_id", "level_idx", "size_y", "size_x"))
+    planned = materialise(tiles_under(levels, regions), shared_dir(spark), "planned")
     schema = "slide_id string, y int, x int, " + ", ".join(f"{c} int" for c in channels)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             for r in f.itertuples(index=False):
-                body = np.full((len(channels), r.oh * r.ow), 255, np.int32)
-                for part in r.parts:
-                    body[part["channel"]] = np.frombuffer(part["pixels"], np.uint8)
+                body = np.full((len(channels), r.oh, r.ow), 255, np.int32)
+                for part in r.parts if r.parts is not None else ():
+                    have = np.frombuffer(part["pixels"], np.uint8).reshape(part["oh"], part["ow"])[: r.oh, : r.ow]
+                    body[part["channel"], : have.shape[0], : have.shape[1]] = have
                 y, x = np.divmod(np.arange(r.oh * r.ow), r.ow)
-                yield pd.DataFrame({"slide_id": r.slide_id, "y": y + r.oy0, "x": x + r.ox0, **dict(zip(channels, body))})
-
-    tiles = stored.groupBy(*place).agg(F.collect_list(F.struct("channel", "pixels")).alias("parts"))  # a part a channel
-    found = tiles.mapInPandas(run, schema)
-    area = stored.select(*place).distinct().groupBy("slide_id").agg(F.sum(F.col("oh").cast("long") * F.col("ow")).alias("_area"))
-    short = wanted.join(area, "slide_id", "left").where("coalesce(_area, 0) < cast(size_y as long) * size_x and size_y > 0 and size_x > 0")
-    domain = short.withColumn("y", F.explode(F.sequence(F.lit(0), F.col("size_y") - 1))).withColumn("x", F.explode(F.sequence(F.lit(0), F.col("size_x") - 1)))
-    holes = domain.select("slide_id", "y", "x").join(found.select("slide_id", "y", "x"), ["slide_id", "y", "x"], "left_anti")
-    return found.unionByName(holes.select("slide_id", "y", "x", *[F.lit(255).alias(c) for c in channels]))
+                yield pd.DataFrame({"slide_id": r.slide_id, "y": y + r.oy0, "x": x + r.ox0, **dict(zip(channels, body.reshape(len(channels), -1)))})
+
+    chosen = planned.where("z >= 0")  # always true; a comparison lets the join prune folders when it runs
+    kept = stored.where(F.col("channel").isin(list(range(len(channels)))))
+    if small(chosen):
+        kept = kept.join(F.broadcast(chosen), [*PLACE, "cell"], "left_semi")
+    else:
+        kept = kept.join(hint(chosen.select("slide_id", "level_idx", "cell").distinct()), ["slide_id", "level_idx", "cell"], "left_semi")
+        kept = kept.join(chosen, PLACE, "left_semi")
+    tiles = kept.groupBy(*PLACE).agg(F.collect_list(F.struct("channel", "oh", "ow", "pixels")).alias("parts"))  # a part a channel
+    return planned.join(tiles, PLACE, "left").select("slide_id", "oy0", "ox0", "oh", "ow", "parts").mapInPandas(run, schema)
 
 
 def read_thumbnail(spark: SparkSession, path: str, levels: DataFrame, slide_id: str, least: int = 2000) -> DataFrame:

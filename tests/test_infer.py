@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rasterloom import __main__ as command
-from rasterloom.operators import scoring
+from rasterloom.operators import grid, neighbourhood, scoring
 from rasterloom.plans import infer
 from rasterloom.sources import raster as sources
 
@@ -63,7 +63,11 @@ def test_store_is_labelled_tile_by_tile(spark, tmp_path):
     assert (got == values[..., 1]).all()
 
     options = dict(tile=16, tile_overlap=4, roi=16, thumbnail_edge=20)
-    out = infer.segment_store(spark, store, levels, str(tmp_path / "one"), side, target_mpp=1.0, **options)
+    out = infer.segment_store(spark, store, levels, str(tmp_path / "one"), side, target_mpp=1.0, save_image=str(tmp_path / "eho"), **options)
+    saved = spark.read.parquet(str(tmp_path / "eho"))
+    assert saved.groupBy("slide_id").count().orderBy("slide_id").collect() == [("s", 32 * 48), ("t", 32 * 48)]
+    assert saved.where("slide_id = 't' and (e <> 255 or h <> 255 or od <> 255)").count() == 0
+    assert saved.where("slide_id = 's' and x < 20 and od < 255").count() > 500
     table = {(r["slide_id"], r["y"], r["x"]): r["label"] for r in out.collect()}
     assert len(table) == 32 * 48 + 32 * 48  # half of s, t as it is
     assert all(v == 0 for (s, _, _), v in table.items() if s == "t")
@@ -73,6 +77,56 @@ def test_store_is_labelled_tile_by_tile(spark, tmp_path):
     assert every.count() == 46 * 69 and every.where("label <> 2").count() == 0
 
 
+def test_only_tiles_under_regions_are_opened(spark, tmp_path):
+    """Cells without a wanted tile are filled with rubbish; overlapping regions give each tile once."""
+    store, rng = str(tmp_path / "store"), np.random.default_rng(3)
+    (tmp_path / "in").mkdir()
+    values = {s: rng.integers(0, 256, (100, 140, 3)).astype(np.uint8) for s in "ab"}
+    for s, v in values.items():
+        write_ppm(tmp_path / "in" / s, v)
+    sources.write_tiles(sources.read_images(spark, str(tmp_path / "in/*")), store, tile=4)
+    wanted = spark.createDataFrame([("a", 0, 100, 140), ("b", 0, 100, 140)], "slide_id string, level_idx int, size_y int, size_x int")
+    places = [("a", 5, 20, 34, 50), ("a", 0, 9, 30, 41), ("a", 90, 120, 130, 200), ("a", 30, 30, 0, 9), ("b", -5, 3, 60, 61)]
+    regions = spark.createDataFrame(places, "slide_id string, y0 int, y1 int, x0 int, x1 int")
+    expected = {(s, y // 4, x // 4) for s, y0, y1, x0, x1 in places for y in range(max(0, y0), min(100, y1)) for x in range(x0, min(140, x1))}
+    planned = sources.tiles_under(wanted.withColumn("edge", F.lit(4)), regions).collect()
+    assert sorted((r["slide_id"], r["oy0"] // 4, r["ox0"] // 4) for r in planned) == sorted(expected)
+    cells, spoiled = {(r["slide_id"], r["cell"]) for r in planned}, 0
+    for folder in (tmp_path / "store").glob("slide_id=*/level_idx=0/cell=*"):
+        slide_id, cell = folder.parts[-3].split("=")[1], int(folder.name.split("=")[1])
+        if (slide_id, cell) not in cells:
+            spoiled += 1
+            for f in folder.glob("*.parquet"):
+                f.write_bytes(b"PAR1 no table")
+    assert spoiled > len(cells) and len(cells) > 3
+    # the tiles' size is known from one small table, so that the spoiled files needn't tell it
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(sources, "_edges", lambda stored, levels: levels.withColumn("edge", F.lit(4)))
+        for limit in (300_000, len(cells)):
+            got = sources.read_levels(spark, store, wanted, regions=regions, limit=limit).collect()
+            assert len(got) == 16 * len(expected) and {(r["slide_id"], r["y"] // 4, r["x"] // 4) for r in got} == expected
+            assert all(tuple(values[r["slide_id"]][r["y"], r["x"]]) == (r["r"], r["g"], r["b"]) for r in got)
+
+
+def test_spans_hold_every_tap(spark):
+    """The level pixels planned for a tile hold all that linear zoom takes for it."""
+    sizes = [(n, m) for n in (1, 2, 7, 40, 41, 97) for m in (1, 2, 9, 40, 57, 97)]
+    table = spark.createDataFrame(sizes, "n_in int, n_out int")
+    taps = neighbourhood.linear_taps(table, "n_in", "n_out")
+    span = grid.level_span(F.expr("out - out % 8"), F.least(F.lit(8), F.expr("n_out - (out - out % 8)")), F.col("n_out"), F.col("n_in"), 3)
+    assert taps.withColumn("s", span).where("src < s.lo or src >= s.hi").count() == 0
+    wide = taps.withColumn("s", span).where("s.lo < 0 or s.hi > n_in")
+    assert wide.count() == 0
+
+
+def test_curve(spark):
+    rank = spark.range(64).select(grid.morton(F.expr("id div 8"), F.expr("id % 8")).alias("z"), F.expr("id div 8").alias("i"), F.expr("id % 8").alias("j")).collect()
+    want = {(i, j): sum(((i >> k & 1) << (2 * k + 1)) | ((j >> k & 1) << (2 * k)) for k in range(31)) for i in range(8) for j in range(8)}
+    assert {(r["i"], r["j"]): r["z"] for r in rank} == want
+    top = spark.range(1).select(grid.morton(F.lit(2**31 - 1), F.lit(0)).alias("z")).first()["z"]
+    assert top == sum(1 << (2 * k + 1) for k in range(31))
+
+
 def test_resolution_of_the_placeholder(spark, tmp_path):
     (tmp_path / "in").mkdir()
     write_ppm(tmp_path / "in/a", slide(20, 20))
