@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import pixel
+from ..scratch import materialise, shared_dir
+from .areas import rectangle_counts
 from .stats import fraction, with_slide
 
 
@@ -16,37 +18,23 @@ def _span(origin: str, length: str, out: str, thumb: str) -> tuple[Column, Colum
     return lo, hi
 
 
-def gate_tiles(tiles: DataFrame, mask: DataFrame, flag: str = "tissue", least: float = 0.01, cell: int = 16, by: str = "slide_id") -> DataFrame:
+def gate_tiles(tiles: DataFrame, mask: DataFrame, flag: str = "tissue", least: float = 0.01, cell: int = 64, by: str = "slide_id") -> DataFrame:
     """All columns of ``tiles`` with ``n_px``, ``n_tissue``, ``tissue_fraction`` and ``tissue``.
 
     ``tiles`` has the tile (``oy0, ox0, oh, ow``) in an image of ``h`` x ``w`` pixels; ``mask`` has
     ``by, y, x`` and a boolean of a thumbnail of ``th`` x ``tw``, columns of ``tiles`` too. The
-    2-D range join is turned into an equality join: mask pixels are counted by cells of ``cell``
-    pixels a side, tiles explode into the cells they touch, and only border cells go back to pixels.
-    A tile over no mask pixel has no tissue.
+    2-D range join is four look-ups a tile in summed areas of the mask (``areas``). Repeated tiles
+    have the same counts; a tile over no mask pixel has no tissue.
     """
-    keys = [c for c in tiles.columns]
     y0, y1 = _span("oy0", "oh", "h", "th")
     x0, x1 = _span("ox0", "ow", "w", "tw")
-    spans = tiles.withColumn("_t", F.struct(*keys)).select("_t", F.col(by).alias("_s"), y0.alias("_y0"), y1.alias("_y1"), x0.alias("_x0"), x1.alias("_x1"))
-    spans = spans.where("_y1 > _y0 and _x1 > _x0")
-    cells = spans.withColumn("_cy", F.explode(F.sequence(F.expr(f"_y0 div {cell}"), F.expr(f"(_y1 - 1) div {cell}")))).withColumn(
-        "_cx", F.explode(F.sequence(F.expr(f"_x0 div {cell}"), F.expr(f"(_x1 - 1) div {cell}")))
-    )
-    whole = (F.col("_cy") * cell >= F.col("_y0")) & ((F.col("_cy") + 1) * cell <= F.col("_y1")) & (F.col("_cx") * cell >= F.col("_x0")) & ((F.col("_cx") + 1) * cell <= F.col("_x1"))
-    cells = cells.withColumn("_whole", whole)
-    px = mask.select(
-        F.col(by).alias("_s"), F.col("y").alias("_y"), F.col("x").alias("_x"), F.coalesce(F.col(flag), F.lit(False)).cast("long").alias("_f"),
-        F.expr(f"y div {cell}").alias("_cy"), F.expr(f"x div {cell}").alias("_cx"),
-    )
-    blocks = px.groupBy("_s", "_cy", "_cx").agg(F.count(F.lit(1)).alias("n"), F.sum("_f").alias("f"))
-    key = ["_s", "_cy", "_cx"]
-    inner = cells.where("_whole").join(blocks, key).select("_t", "n", "f")
-    edge = cells.where("not _whole").join(px, key).where("_y >= _y0 and _y < _y1 and _x >= _x0 and _x < _x1").select("_t", F.lit(1).cast("long").alias("n"), F.col("_f").alias("f"))
-    sums = inner.unionByName(edge).groupBy("_t").agg(F.sum("n").alias("n_px"), F.sum("f").alias("n_tissue"))
-    every = tiles.select(F.struct(*keys).alias("_t")).join(sums, "_t", "left")
-    share = F.when(F.col("n_px") > 0, F.col("n_tissue") / F.col("n_px")).otherwise(0.0)
-    out = every.select("_t.*", F.coalesce("n_px", F.lit(0)).alias("n_px"), F.coalesce("n_tissue", F.lit(0)).alias("n_tissue"), share.alias("tissue_fraction"))
+    whole = F.struct(*[F.col(f"`{c}`") for c in tiles.columns])
+    spans = tiles.select(whole.alias("key"), F.col(by).alias("slide"), y0.alias("y0"), y1.alias("y1"), x0.alias("x0"), x1.alias("x1"))
+    spans = materialise(spans, shared_dir(tiles.sparkSession), "spans")
+    counts = rectangle_counts(spans.distinct(), mask.select(F.col(by).alias("slide"), "y", "x", flag), flag, cell, "slide")
+    every = spans.select("key").join(counts, "key", "left")
+    share = F.when(F.col("n") > 0, F.col("f") / F.col("n")).otherwise(0.0)
+    out = every.select("key.*", F.coalesce("n", F.lit(0)).alias("n_px"), F.coalesce("f", F.lit(0)).alias("n_tissue"), share.alias("tissue_fraction"))
     return out.withColumn("tissue", (F.col("n_px") > 0) & (F.col("tissue_fraction") >= least))
 
 

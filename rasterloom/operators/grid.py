@@ -65,7 +65,7 @@ def tile_grid(images: DataFrame, g: Grid = Grid(), height: str = "h", width: str
     rows = images.withColumn("_y", F.explode(_axis(F.col(height).cast("int"), g))).withColumn("_x", F.explode(_axis(F.col(width).cast("int"), g)))
     place = [("ri", "_y.i"), ("ci", "_x.i"), ("oy0", "_y.o"), ("ox0", "_x.o"), ("oh", "_y.n"), ("ow", "_x.n")]
     keep = [("keep_y0", "_y.skip"), ("keep_x0", "_x.skip"), ("keep_h", "_y.keep"), ("keep_w", "_x.keep")]
-    return rows.select(*[F.col(c) for c in images.columns], *[F.col(a).alias(n) for n, a in place + keep])
+    return rows.select(*[F.col(f"`{c}`") for c in images.columns], *[F.col(a).alias(n) for n, a in place + keep])
 
 
 def axis_gaps(sizes: DataFrame, g: Grid, size: str = "dim") -> DataFrame:

@@ -15,6 +15,7 @@ from ..functions import parsing, pixel
 from ..operators import components, gate, grid, neighbourhood, pyramid, scoring, stain, stats
 from ..operators.background import detect_background
 from ..operators.grid import Grid
+from ..scratch import materialise, shared_dir
 from ..sources.raster import embedding_raster, synthetic_raster
 from . import oracle
 from .segment import segment
@@ -90,7 +91,7 @@ def white_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
     px = raster(spark, sf_dir)
     entropy = neighbourhood.local_entropy(px, pixel.gray_bin(*_colours()))
     flags = px.join(entropy, ["slide_id", "y", "x"]).withColumn("entropy_white", pixel.is_white(*_colours(), F.round("entropy", 6), 0.6, 0.45, 2.95))
-    flags = flags.withColumn("base_white", pixel.is_base_white(*_colours(), 0.6, 0.4))
+    flags = materialise(flags.withColumn("base_white", pixel.is_base_white(*_colours(), 0.6, 0.4)), shared_dir(spark), "flags")
     return gate.white_rule(flags).select("y", "x", "entropy_white", "base_white", "white")
 
 

@@ -8,7 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from rasterloom.functions import parsing, pixel
-from rasterloom.operators import components, neighbourhood, scoring, stain, stats
+from rasterloom.operators import areas, components, gate, neighbourhood, scoring, stain, stats
 from rasterloom.operators.background import detect_background
 from rasterloom.operators.grid import Grid, axis_gaps, strided_pick, tile_grid
 from rasterloom.plans import queries as raster
@@ -57,6 +57,36 @@ def test_keep_parts_cover_once(spark):
     assert Grid(16, 8).overlap == 4 and Grid(16, -3).overlap == 0
 
 
+@pytest.mark.parametrize("cell", [4, 7, 64])
+def test_gate_equals_counting(spark, cell):
+    """Missing, repeated and null mask pixels, absent slides, repeated tiles and dots in names."""
+    rng = np.random.default_rng(cell)
+    size = {"a": (23, 41), "b": (1, 30), "c": (12, 5)}
+    mask = [(s, int(y), int(x), [True, False, None][rng.integers(3)]) for s, (h, w) in size.items() if s != "c" for y in range(h) for x in range(w) if rng.random() < 0.6 and not (8 <= y < 16 and x < 20)]
+    mask += [*mask[:9], ("a", -1, 3, True), ("a", 3, 500, True), (None, 1, 1, True)]
+    images = [(s, 4 * h + 3, 4 * w, h, w, s) for s, (h, w) in size.items()]
+    tiles = tile_grid(spark.createDataFrame(images, "slide_id string, h int, w int, th int, tw int, `a.b` string"), Grid(17, 5))
+    tiles = tiles.unionByName(tiles.where("ri = 1"))
+    got = gate.gate_tiles(tiles, spark.createDataFrame(mask, "slide_id string, y int, x int, tissue boolean"), least=0.3, cell=cell).collect()
+    assert len(got) == tiles.count() and got[0]["a.b"] == got[0]["slide_id"]
+    for r in got:
+        y0, x0 = r["oy0"] * r["th"] // r["h"], r["ox0"] * r["tw"] // r["w"]
+        y1, x1 = min(r["th"], (r["oy0"] + r["oh"]) * r["th"] // r["h"] + 1), min(r["tw"], (r["ox0"] + r["ow"]) * r["tw"] // r["w"] + 1)
+        under = [t for s, y, x, t in mask if s == r["slide_id"] and y0 <= y < y1 and x0 <= x < x1]
+        assert (r["n_px"], r["n_tissue"]) == (len(under), sum(t is True for t in under))
+        assert r["tissue"] == (len(under) > 0 and r["n_tissue"] / len(under) >= 0.3)
+
+
+def test_gate_joins_four_rows_a_tile(spark):
+    """A tile as large as the image looks up four corners, three of which lie at its edges and fall out."""
+    mask = spark.range(300 * 200).select(F.lit("s").alias("slide_id"), F.expr("cast(id div 200 as int)").alias("y"), F.expr("cast(id % 200 as int)").alias("x"), F.expr("id % 3 = 0").alias("tissue"))
+    spans = spark.createDataFrame([(0, "s", 0, 300, 0, 200), (1, "s", 10, 290, 5, 150), (2, "s", 7, 7, 0, 9), (3, "t", 0, 5, 0, 5)], "key int, slide_id string, y0 int, y1 int, x0 int, x1 int")
+    got = {r["key"]: (r["n"], r["f"]) for r in areas.rectangle_counts(spans, mask, "tissue").collect()}
+    want = sum((y * 200 + x) % 3 == 0 for y in range(10, 290) for x in range(5, 150))
+    assert got == {0: (60000, 20000), 1: (280 * 145, want), 3: (0, 0)}
+    assert areas.summed_areas(mask, spark.createDataFrame([("s", 300, 200)], "slide_id string, h int, w int"), "tissue").count() == 5 * 4
+
+
 def test_strided_pick_needs_a_number(spark):
     tiles = spark.createDataFrame([("s", 0, i) for i in range(10)], "slide_id string, ri int, ci int")
     assert [r["ci"] for r in strided_pick(tiles, 3).orderBy("ci").collect()] == [0, 3, 6]
