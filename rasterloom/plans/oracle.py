@@ -66,6 +66,10 @@ gated AS (SELECT ri, ci, oy0, ox0, count(m.y) AS n_px, coalesce(sum(m.tissue::IN
     FROM span LEFT JOIN m ON m.y >= y0 AND m.y < y1 AND m.x >= x0 AND m.x < x1 GROUP BY ri, ci, oy0, ox0)"""
 
 
+_RUNS = """runs AS MATERIALIZED (SELECT y, white, min(x) AS x0, max(x) + 1 AS x1
+    FROM (SELECT y, x, white, x - row_number() OVER (PARTITION BY y, white ORDER BY x) AS k FROM (SELECT y, x, NOT tissue AS white FROM m)) GROUP BY y, white, k)"""
+
+
 def _whites(bright: float, pale: float, even: float, base: float, base_pale: float) -> str:
     """CTE ``chosen(y, x, entropy_white, base_white, white)``."""
     return f"""{_entropy()},
@@ -179,6 +183,9 @@ def sql(dims: tuple[int, ...], discs: tuple[int, int], inverse, light: float) ->
         "SELECT ri::INT AS ri, ci::INT AS ci, oy0::INT AS oy0, ox0::INT AS ox0 FROM bg WHERE p % greatest(1, n // 4) = 0 AND p // greatest(1, n // 4) < 4",
         "components_sizes": f"WITH RECURSIVE {_discs(*discs)}, wh AS (SELECT y, x FROM (SELECT y, x, {HSV} FROM px) WHERE {white_discs}), {_parts('wh')} "
         "SELECT (part // 100000)::INT AS part_y, (part % 100000)::INT AS part_x, count(*) AS area FROM parts GROUP BY part",
+        "white_runs": f"WITH {_MASK}, {_RUNS} SELECT y, x0, x1, white FROM runs",
+        "white_regions": f"WITH RECURSIVE {_MASK}, {_RUNS}, {_parts('(SELECT y, x FROM m WHERE NOT tissue)')} SELECT (part // 100000)::INT AS part_y, (part % 100000)::INT AS part_x, "
+        "count(*) FILTER (NOT EXISTS (SELECT 1 FROM dots d WHERE d.id = parts.y * 100000 + parts.x - 1)) AS n_runs, max(y) AS last_y, count(*) AS area FROM parts GROUP BY part",
         "background_mask": f"WITH RECURSIVE {_discs(*discs)}, {_whites(0.82, 0.25, 2.4, 0.83, 0.12)}, wh AS (SELECT y, x FROM chosen WHERE white), {_parts('wh')}, "
         "big AS (SELECT part FROM parts GROUP BY part HAVING count(*) >= 128), bgp AS (SELECT y, x FROM parts JOIN big USING (part)) "
         "SELECT px.y, px.x, bgp.y IS NOT NULL AS background FROM px LEFT JOIN bgp ON bgp.y = px.y AND bgp.x = px.x",

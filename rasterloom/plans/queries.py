@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import parsing, pixel
-from ..operators import components, gate, grid, neighbourhood, pyramid, scoring, stain, stats
+from ..operators import components, gate, grid, neighbourhood, pyramid, runs, scoring, stain, stats
 from ..operators.background import detect_background
 from ..operators.grid import Grid
 from ..scratch import materialise, shared_dir
@@ -121,6 +121,17 @@ def components_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return components.part_sizes(components.label_parts(discs, block=32)).select("part_y", "part_x", "area")
 
 
+def white_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.row_runs(pale(raster(spark, sf_dir)), "white").select("y", "x0", "x1", "white")
+
+
+def white_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each part's runs and pixels, by runs: on the vectors' image, so that the work grows with the table."""
+    found = runs.part_runs(pale(raster(spark, sf_dir)))
+    sizes = found.groupBy("slide_id", "part_y", "part_x").agg(F.count(F.lit(1)).alias("n_runs"), F.max("y").alias("last_y"))
+    return runs.part_areas(found).join(sizes, ["slide_id", "part_y", "part_x"]).select("part_y", "part_x", "n_runs", "last_y", "area")
+
+
 def background_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = detect_background(synthetic_raster(spark, *DISCS))
     return found.select("y", "x", "background")
@@ -277,7 +288,7 @@ def label_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _QUERIES = (
     tile_grid, tile_keep_regions, tile_cover_gaps, u8_stretch, gray_bins, white_base, local_entropy, white_rule, tissue_tiles, tile_counters, bg_tile_pick,
-    components_sizes, background_mask, background_intensity, optical_density, concentration, stain_percentiles, eho_pixels, masked_normalize, od_covariance,
+    components_sizes, white_runs, white_regions, background_mask, background_intensity, optical_density, concentration, stain_percentiles, eho_pixels, masked_normalize, od_covariance,
     stain_estimate, label_rule, nearest_resize, linear_resize, lanczos_resize, reflect_pad, window_blend, stitch_keep, segment_labels, pyramid_level,
     thumb_level, metric_summary, metric_lag_rate, csv_metric_parse, url_parts, registry_lookup, label_distinct,
 )

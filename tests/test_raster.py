@@ -8,7 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from rasterloom.functions import parsing, pixel
-from rasterloom.operators import areas, components, gate, neighbourhood, scoring, stain, stats
+from rasterloom.operators import areas, components, gate, neighbourhood, runs, scoring, stain, stats
 from rasterloom.operators.background import detect_background
 from rasterloom.operators.grid import Grid, axis_gaps, strided_pick, tile_grid
 from rasterloom.plans import queries as raster
@@ -115,6 +115,27 @@ def test_components_against_flood_fill(spark, block):
                     todo.append(n)
         want |= {p: min(part) for p in part}
     assert found == want
+    by_runs = runs.part_runs(df)
+    assert {(r["y"], x): (r["part_y"], r["part_x"]) for r in by_runs.collect() for x in range(r["x0"], r["x1"])} == want
+    areas_of = {(r["part_y"], r["part_x"]): r["area"] for r in runs.part_areas(by_runs).collect()}
+    assert areas_of == {p: list(want.values()).count(p) for p in set(want.values())}
+
+
+def test_runs_of_large_parts(spark, tmp_path):
+    """Large parts have tens of times fewer runs than pixels, long runs cross strips, labels read back equal."""
+    wide = spark.range(40 * 900).select(F.lit("s").alias("slide_id"), F.expr("cast(id div 900 as int)").alias("y"), F.expr("cast(id % 900 as int)").alias("x"))
+    wide = wide.withColumn("label", F.expr("case when y between 3 and 30 and x between 10 and 700 then 1 when y > 32 and x > 300 then 2 else 0 end"))
+    found = runs.row_runs(wide, "label")
+    assert found.count() * 30 < wide.count()
+    parts = runs.part_runs(wide.withColumn("white", F.col("label") > 0))
+    assert sorted((r["part_y"], r["part_x"], r["area"]) for r in runs.part_areas(parts).collect()) == [(3, 10, 28 * 691), (33, 301, 7 * 599)]
+    assert runs.touching_runs(found.where("label = 1")).count() == 27
+    runs.write_runs(wide.unionByName(wide.where("y = 5")), str(tmp_path / "runs"))
+    back = runs.read_runs(spark, str(tmp_path / "runs"))
+    assert back.exceptAll(wide).count() == 0 and wide.exceptAll(back).count() == 0
+    odd = spark.createDataFrame([("s", 0, 0, None), ("s", 0, 1, None), ("s", 0, 2, 1), ("s", 0, 2, 2)], "slide_id string, y int, x int, label int")
+    assert sorted(tuple(r)[2:] for r in runs.row_runs(odd, "label").collect()) == [(0, 2, None), (2, 3, 1), (2, 3, 2)]
+    assert runs.part_runs(odd.withColumn("white", F.lit(False))).count() == 0
 
 
 def test_large_parts_keep_exactly_128(spark):
