@@ -119,6 +119,20 @@ def test_spans_hold_every_tap(spark):
     assert wide.count() == 0
 
 
+def test_share_of_the_store_that_is_read(spark):
+    """A tenth of a slide is tissue: at most 15 % of the stored tiles are planned, at each scale of level and target."""
+    side = 65536
+    edge = int(side * 0.1**0.5)
+    for level in (side, 2 * side, side // 2):
+        images = spark.createDataFrame([("s", 0, side, side, level, level)], "slide_id string, level_idx int, h int, w int, size_y int, size_x int")
+        tiles = grid.tile_grid(images.select("slide_id", "h", "w"), grid.Grid(2048, 128)).where(f"oy0 + oh > 7000 and oy0 < 7000 + {edge} and ox0 + ow > 9000 and ox0 < 9000 + {edge}")
+        regions = infer.level_regions(tiles, images)
+        planned = sources.tiles_under(images.withColumn("edge", F.lit(512)), regions)
+        share = planned.count() / (level // 512) ** 2
+        assert 0.10 <= share <= 0.15
+        assert planned.select("z").distinct().count() == planned.count()
+
+
 def test_curve(spark):
     rank = spark.range(64).select(grid.morton(F.expr("id div 8"), F.expr("id % 8")).alias("z"), F.expr("id div 8").alias("i"), F.expr("id % 8").alias("j")).collect()
     want = {(i, j): sum(((i >> k & 1) << (2 * k + 1)) | ((j >> k & 1) << (2 * k)) for k in range(31)) for i in range(8) for j in range(8)}
