@@ -14,11 +14,9 @@ from pyspark.sql import functions as F
 
 from .operators import scoring, stats
 from .plans import infer
+from .sources.samples import METRICS, SAMPLES, read_samples
 
 LEVELS = "slide_id string, level_idx int, size_x int, size_y int, mpp_x double, mpp_y double"
-#: Columns of a table of resource samples.
-METRICS = ("proc_cpu_pct", "proc_rss_bytes", "system_cpu_pct", "gpu_util_pct", "gpu_mem_used_mib")
-SAMPLES = "t double, " + ", ".join(f"{m} double" for m in METRICS) + ", gpu_mem_total_mib double, mac_gpu_model string, mac_gpu_vram_mib double, mac_process_uses_metal boolean"
 
 
 def scorer(name: str) -> scoring.Scorer:
@@ -61,7 +59,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     a = parser().parse_args(arguments)
     spark = SparkSession.builder.appName(f"rasterloom {a.command}").getOrCreate()
     if a.command == "metrics":
-        samples = spark.read.csv(a.input, header=True, enforceSchema=False, schema=SAMPLES)
+        samples = read_samples(spark, a.input)
         found = stats.metric_summary(samples, METRICS)
         if a.output:
             found.write.mode("overwrite").json(a.output)

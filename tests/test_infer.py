@@ -8,6 +8,7 @@ from rasterloom import __main__ as command
 from rasterloom.operators import grid, neighbourhood, scoring
 from rasterloom.plans import infer
 from rasterloom.sources import raster as sources
+from rasterloom.sources import samples
 
 
 def slide(height: int, width: int) -> np.ndarray:
@@ -148,6 +149,17 @@ def test_resolution_of_the_placeholder(spark, tmp_path):
     assert out.count() == 400 and {r[0] for r in out.select("label").distinct().collect()} <= {0, 1, 2}
 
 
+def test_samples_there_and_back(spark, tmp_path):
+    kinds = "t double, proc_cpu_pct double, note string, mac_gpu_model string, proc_rss_bytes long"
+    some = spark.createDataFrame([(2.0, None, "x", "a, \"b\" model", 5), (1.0, 3.5, "y", None, None)], kinds)
+    samples.write_samples(some.repartition(3), str(tmp_path / "s"))
+    back = samples.read_samples(spark, str(tmp_path / "s")).orderBy("t").collect()
+    assert [tuple(r) for r in back] == [(1.0, 3.5, *[None] * 8), (2.0, None, 5.0, *[None] * 4, 'a, "b" model', None, None)]
+    samples.write_samples(some.limit(0), str(tmp_path / "none"))
+    assert samples.read_samples(spark, str(tmp_path / "none")).count() == 0
+    assert [f.read_text().strip().count(",") for f in (tmp_path / "none").glob("*.csv")] == [9]
+
+
 def test_command_line(spark, tmp_path, capsys):
     (tmp_path / "in").mkdir()
     write_ppm(tmp_path / "in/a", slide(20, 20))
