@@ -214,6 +214,7 @@ def _meeting(tokens: DataFrame) -> DataFrame:
     that very many classes hold takes no memory.
     """
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carry = None  # token, n, cls and leader of the row before; whether it was given out
         for batch in batches:
@@ -254,6 +255,7 @@ def _prune(meeting: DataFrame, sketches: DataFrame, folder: str, percent: int) -
     class needs another of fitting size and sketch. Where still more meet, all rows stay.
     """
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (token,), rows in _runs(batches, 1):
             kept = np.flatnonzero(_may_link([r[3] for r in rows], np.array([r[0] for r in rows]), percent))
@@ -362,6 +364,7 @@ def _root(up: list[int], i: int) -> int:
 def _cluster(chunks: DataFrame, percent: int) -> DataFrame:
     """``cls, n, cell``: the connected parts of each chunk, named by their smallest class."""
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in _runs(batches, 2):
             ids, sizes = [r[0] for r in rows], np.array([r[1] for r in rows])
@@ -387,6 +390,7 @@ def _open(pairs: DataFrame, members: DataFrame, sets: DataFrame, percent: int, s
     The larger cell of a pair is opened once for ``share`` others, which pass it one by one.
     """
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, one, union, linked = None, [], None, None
         for batch in batches:
@@ -435,11 +439,13 @@ def _apart_pairs(known: DataFrame, members: DataFrame, sets: DataFrame, percent:
     two parts meet in a group of their own, so a key of any size is compared in bounded groups.
     """
 
+    @gives_back
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [_sketch(np.frombuffer(x.as_py(), np.uint64), 8) for x in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())], names=["cls", "n", "sketch"])
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in _runs(batches, 3):
             cell, comp, sizes = (np.array([r[i] for r in rows]) for i in range(3))
