@@ -189,6 +189,9 @@ def sql(dims: tuple[int, ...], discs: tuple[int, int], inverse, light: float) ->
         "background_mask": f"WITH RECURSIVE {_discs(*discs)}, {_whites(0.82, 0.25, 2.4, 0.83, 0.12)}, wh AS (SELECT y, x FROM chosen WHERE white), {_parts('wh')}, "
         "big AS (SELECT part FROM parts GROUP BY part HAVING count(*) >= 128), bgp AS (SELECT y, x FROM parts JOIN big USING (part)) "
         "SELECT px.y, px.x, bgp.y IS NOT NULL AS background FROM px LEFT JOIN bgp ON bgp.y = px.y AND bgp.x = px.x",
+        "background_blocks": f"WITH RECURSIVE {PX}, {_whites(0.6, 0.45, 2.95, 0.6, 0.4)}, wh AS (SELECT y, x FROM chosen WHERE white), {_parts('wh')}, "
+        "big AS (SELECT part FROM parts GROUP BY part HAVING count(*) >= 3), bgp AS (SELECT y, x FROM parts JOIN big USING (part)) "
+        "SELECT px.y, px.x, bgp.y IS NOT NULL AS background FROM px LEFT JOIN bgp ON bgp.y = px.y AND bgp.x = px.x",
         "background_intensity": f"WITH {PX}, {_discs(*discs).replace('px AS', 'dpx AS').replace('dim AS', 'ddim AS')}, "
         f"both_px AS (SELECT 'embeddings' AS slide_id, r, g, b, val > 0.55 AND sat < 0.5 AS bg FROM (SELECT *, {HSV} FROM px) UNION ALL SELECT 'discs', r, g, b, {white_discs} FROM (SELECT *, {HSV} FROM dpx)) "
         f"SELECT slide_id, round(({io})::DOUBLE, 6) AS io FROM both_px GROUP BY slide_id",

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import parsing, pixel
-from ..operators import components, gate, grid, neighbourhood, pyramid, runs, scoring, stain, stats
+from ..operators import blocks, components, gate, grid, neighbourhood, pyramid, runs, scoring, stain, stats
 from ..operators.background import detect_background
 from ..operators.grid import Grid
 from ..scratch import materialise, shared_dir
@@ -137,6 +137,12 @@ def background_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("y", "x", "background")
 
 
+def background_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The background of the vectors' image by blocks of 48 pixels: white parts of at least 3."""
+    found = blocks.background_blocks(raster(spark, sf_dir), 3, 48, bright=0.6, saturated=0.45, even=2.95, base_bright=0.6, base_saturated=0.4)
+    return blocks.block_pixels(found, cell=48).select("y", "x", "background")
+
+
 def background_intensity(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = pale(raster(spark, sf_dir)).withColumnRenamed("white", "background").select("slide_id", *_RGB, "background")
     discs = synthetic_raster(spark, *DISCS).withColumn("background", pixel.is_base_white(*_colours())).select("slide_id", *_RGB, "background")
@@ -288,7 +294,7 @@ def label_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _QUERIES = (
     tile_grid, tile_keep_regions, tile_cover_gaps, u8_stretch, gray_bins, white_base, local_entropy, white_rule, tissue_tiles, tile_counters, bg_tile_pick,
-    components_sizes, white_runs, white_regions, background_mask, background_intensity, optical_density, concentration, stain_percentiles, eho_pixels, masked_normalize, od_covariance,
+    components_sizes, white_runs, white_regions, background_mask, background_blocks, background_intensity, optical_density, concentration, stain_percentiles, eho_pixels, masked_normalize, od_covariance,
     stain_estimate, label_rule, nearest_resize, linear_resize, lanczos_resize, reflect_pad, window_blend, stitch_keep, segment_labels, pyramid_level,
     thumb_level, metric_summary, metric_lag_rate, csv_metric_parse, url_parts, registry_lookup, label_distinct,
 )
