@@ -9,6 +9,7 @@ U8 = "trunc(255 * least(greatest((raw.{c} - pc.{c}[1]) / (pc.{c}[2] - pc.{c}[1]
 PX = f"""{RAW},
 px AS (SELECT y, x, {U8.format(c='r')}, {U8.format(c='g')}, {U8.format(c='b')} FROM raw, pc),
 dim AS (SELECT max(y) + 1 AS h, max(x) + 1 AS w FROM px)"""
+BOUNDS = (0.6123457, 0.5123457)  # of the scorer that labels arriving tiles
 HSV = "greatest(r, g, b) / 255.0 AS val, CASE WHEN greatest(r, g, b) > 0 THEN (greatest(r, g, b) - least(r, g, b)) / greatest(r, g, b)::DOUBLE ELSE 0 END AS sat"
 BIN = "((r * 299 + g * 587 + b * 114) // 1000) >> 4"
 OD = "0 - log10(least(greatest({c}::DOUBLE, 1), {io}) / {io})"
@@ -215,6 +216,9 @@ def sql(dims: tuple[int, ...], discs: tuple[int, int], inverse, light: float) ->
         f"SELECT y, x, round((sum(z * {_gauss()}) / sum({_gauss()}))::DOUBLE, 6) AS z FROM c GROUP BY y, x",
         "stitch_keep": f"WITH {PX}, {_grid('dim', 'h', 'w', 16, 4)}, k AS (SELECT y, x, (r + ri * 3 + ci) % 3 AS label FROM px JOIN tiles ON y >= oy0 + keep_y0 AND y < oy0 + keep_y0 + keep_h AND x >= ox0 + keep_x0 AND x < ox0 + keep_x0 + keep_w WHERE (ri + ci) % 5 <> 3) "
         "SELECT px.y, px.x, coalesce(k.label, 0)::INT AS label FROM px LEFT JOIN k ON k.y = px.y AND k.x = px.x",
+        "arriving_labels": f"WITH {PX}, {_grid('dim', 'h', 'w', 16, 4)}, t AS (SELECT px.*, tiles.* EXCLUDE (h, w) FROM px JOIN tiles ON y >= oy0 AND y < oy0 + oh AND x >= ox0 AND x < ox0 + ow), "
+        f"s AS (SELECT * EXCLUDE (r, g, b), {norm1.replace('OVER ()', 'OVER (PARTITION BY ri, ci)')} FROM t), n AS (SELECT * EXCLUDE (r, g, b), {norm2.replace('OVER ()', 'OVER (PARTITION BY ri, ci)')} FROM s) "
+        f"SELECT y, x, (CASE WHEN r > {BOUNDS[0]} THEN 1 WHEN g > {BOUNDS[1]} THEN 2 ELSE 0 END)::INT AS label FROM n WHERE y >= oy0 + keep_y0 AND y < oy0 + keep_y0 + keep_h AND x >= ox0 + keep_x0 AND x < ox0 + keep_x0 + keep_w",
         "pyramid_level": f"WITH {levels}, b AS (SELECT slide_id, count(*) AS n, max(m) FILTER (m <= 12) AS best, max(m) FILTER (level_idx = 0) AS m0 FROM lv GROUP BY slide_id), "
         "c AS (SELECT b.*, coalesce((SELECT min(level_idx) FROM lv WHERE lv.slide_id = b.slide_id AND m = best), 0) AS idx FROM b) SELECT slide_id, idx::INT AS level_idx, (n - 1 - idx)::INT AS level, round(coalesce(best, m0), 6) AS mpp FROM c",
         "thumb_level": f"WITH {levels} SELECT slide_id, coalesce(max(level_idx) FILTER (greatest(size_x, size_y) >= 4990), max(level_idx))::INT AS level_idx FROM lv GROUP BY slide_id",

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +18,7 @@ from ..operators.background import detect_background
 from ..operators.grid import Grid
 from ..scratch import materialise, shared_dir
 from ..sources.raster import embedding_raster, synthetic_raster
+from ..streaming import arrivals
 from . import oracle
 from .segment import segment
 
@@ -246,6 +248,27 @@ def segment_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segment(synthetic_raster(spark, *DISCS), scoring.placeholder_scorer, roi=64).select("y", "x", "label")
 
 
+def threshold_scorer(image: np.ndarray) -> np.ndarray:
+    """Which of two channels exceeds its bound: no trained model, but SQL can follow it."""
+    z = [20 * (image[..., i] - bound) for i, bound in enumerate(oracle.BOUNDS)]
+    return np.stack([*z, np.full_like(z[0], -30)], -1)
+
+
+def _packed_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vectors' image in tiles of 16 pixels, three colours as the channels to score."""
+    px = raster(spark, sf_dir)
+    tiles = grid.tile_grid(sized(px).select("slide_id", "h", "w").distinct(), Grid(16, 4)).drop("h", "w")
+    return arrivals.pack_tiles(scoring.tiles_of(px.toDF("slide_id", "y", "x", *arrivals.CHANNELS), tiles, 16, 12))
+
+
+def arriving_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of tiles that come as files, four of sixteen a batch, by a stream that runs until all are done."""
+    folder = shared_dir(spark)
+    _packed_tiles(spark, sf_dir).repartition(16, "oy0", "ox0").write.parquet(f"{folder}/arriving")
+    arrivals.label_arrivals(spark, f"{folder}/arriving", f"{folder}/labelled", f"{folder}/progress", threshold_scorer, files_per_batch=4).awaitTermination()
+    return arrivals.read_arrivals(spark, f"{folder}/labelled").select("y", "x", "label")
+
+
 def _levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     rank = F.expr("cast(row_number() over (partition by p_brand order by p_partkey) - 1 as int)")
     return table(spark, sf_dir, "part").select(
@@ -295,7 +318,7 @@ def label_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
 _QUERIES = (
     tile_grid, tile_keep_regions, tile_cover_gaps, u8_stretch, gray_bins, white_base, local_entropy, white_rule, tissue_tiles, tile_counters, bg_tile_pick,
     components_sizes, white_runs, white_regions, background_mask, background_blocks, background_intensity, optical_density, concentration, stain_percentiles, eho_pixels, masked_normalize, od_covariance,
-    stain_estimate, label_rule, nearest_resize, linear_resize, lanczos_resize, reflect_pad, window_blend, stitch_keep, segment_labels, pyramid_level,
+    stain_estimate, label_rule, nearest_resize, linear_resize, lanczos_resize, reflect_pad, window_blend, stitch_keep, segment_labels, arriving_labels, pyramid_level,
     thumb_level, metric_summary, metric_lag_rate, csv_metric_parse, url_parts, registry_lookup, label_distinct,
 )
 
