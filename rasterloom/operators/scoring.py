@@ -47,6 +47,14 @@ def patches_per_call(roi: int, device: str = "cpu", memory_gb: float | None = No
     return min(1024, max(1, int(16 * (512**2 / roi**2) * factor)))
 
 
+def score_patch(patch: np.ndarray, scorer: Scorer, multiple: int = 64) -> np.ndarray:
+    """Logits of one window, padded by reflection to ``multiple`` for the call."""
+    h, w = patch.shape[:2]
+    pads = [((-n % multiple) // 2, -n % multiple - (-n % multiple) // 2) for n in (h, w)]
+    z = scorer(np.pad(patch, [*pads, (0, 0)], mode="reflect" if min(h, w) > 1 else "edge"))
+    return z[pads[0][0] : pads[0][0] + h, pads[1][0] : pads[1][0] + w]
+
+
 def score_windows(
     images: DataFrame, columns: list[str], scorer: Scorer, roi: int = 512, overlap: float = 0.25, multiple: int = 64, height: str = "h", width: str = "w", by: str = "slide_id",
 ) -> DataFrame:
@@ -64,9 +72,7 @@ def score_windows(
         i, j = y - key[1], x - key[2]
         patch = np.zeros((i.max() + 1, j.max() + 1, len(columns)), np.float32)
         patch[i, j] = frame[columns].to_numpy(np.float32)
-        pads = [((-n % multiple) // 2, -n % multiple - (-n % multiple) // 2) for n in patch.shape[:2]]
-        z = scorer(np.pad(patch, [*pads, (0, 0)], mode="reflect" if min(patch.shape[:2]) > 1 else "edge"))
-        z = z[pads[0][0] :, pads[1][0] :][i, j].astype(float)
+        z = score_patch(patch, scorer, multiple)[i, j].astype(float)
         return pd.DataFrame({by: key[0], "y": y, "x": x, "wy": key[1], "wx": key[2], "z_epi": z[:, 0], "z_stroma": z[:, 1], "z_bg": z[:, 2]})
 
     scored = dealt.groupBy(by, "wy", "wx").applyInPandas(run, f"{by} {kind}, y int, x int, wy int, wx int, z_epi double, z_stroma double, z_bg double")

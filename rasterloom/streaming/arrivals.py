@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import scoring, stats
+from ..functions import pixel
+from ..operators import neighbourhood, scoring
 from ..scratch import materialise, shared_dir
 
 CHANNELS = ["e", "h", "od"]
@@ -41,32 +42,52 @@ def pack_tiles(tile_pixels: DataFrame) -> DataFrame:
     return tile_pixels.groupBy(*KEY, *PLACE).applyInPandas(run, TILES)
 
 
-def _unpacked(tiles: DataFrame) -> DataFrame:
-    """``tile_id, y, x, e, h, od``, places within the tile."""
+def _normalised(values: np.ndarray) -> np.ndarray:
+    """One channel of one tile as ``stats.normalise`` has it."""
+    scaled = values / 255.0
+    some = scaled != 0
+    if some.any():
+        scaled[some] = (scaled[some] - scaled[some].mean()) / (scaled[some].std() or 1.0)
+    low, high = scaled.min(), scaled.max()
+    return (scaled - low) / (high - low) if high > low else np.zeros_like(scaled)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for r in frame.itertuples(index=False):
-                y, x = np.divmod(np.arange(r.oh * r.ow), r.ow)
-                yield pd.DataFrame({"tile_id": r.tile_id, "y": y, "x": x, **{c: np.frombuffer(getattr(r, c), np.uint8).astype(np.int32) for c in CHANNELS}})
 
-    return tiles.select("tile_id", "oh", "ow", *CHANNELS).mapInPandas(run, "tile_id string, y int, x int, e int, h int, od int")
+def _logits(image: np.ndarray, starts: tuple[np.ndarray, np.ndarray], scorer: scoring.Scorer, roi: int, overlap: float, sigma: float = 0.125) -> np.ndarray:
+    """Logits of a tile, blended over its windows as ``scoring.score_windows`` does."""
+    d = (np.arange(roi) - (roi - 1) / 2) ** 2
+    weight = np.maximum(np.exp(-(d[:, None] + d) / (2 * (sigma * roi) ** 2)), 1e-3) if overlap > 0 else np.ones((roi, roi))
+    total, weights = np.zeros(image.shape), np.zeros((*image.shape[:2], 1))
+    for y in starts[0]:
+        for x in starts[1]:
+            patch = image[y : y + roi, x : x + roi]
+            w = weight[: patch.shape[0], : patch.shape[1], None]
+            total[y : y + roi, x : x + roi] += w * scoring.score_patch(patch, scorer)
+            weights[y : y + roi, x : x + roi] += w
+    return total / weights
 
 
 def label_tiles(tiles: DataFrame, scorer: scoring.Scorer, roi: int = 512, overlap: float = 0.25) -> DataFrame:
     """``slide_id, y, x, label`` of the tiles' keep parts; each tile is normalised and scored on its own.
 
-    ``tiles`` are packed, one row each (stored: they are read several times). Tiles without slide, place
-    or a channel have no labels.
+    ``tiles`` are packed, one row each: a tile is a task's unit of bounded size, and no pixel is
+    shuffled. Tiles without slide, place or a channel, or without pixels, have no labels.
     """
-    known = tiles.na.drop(subset=[*KEY, *PLACE, *CHANNELS]).withColumn("tile_id", F.concat_ws("/", *KEY))
-    pixels = materialise(_unpacked(known), shared_dir(tiles.sparkSession), "tile-pixels")
-    extents = known.select("tile_id", "oh", "ow")
-    ready = stats.with_slide(stats.normalise(pixels, CHANNELS, "tile_id"), extents, "tile_id")
-    logits = scoring.score_windows(ready, CHANNELS, scorer, roi, overlap, height="oh", width="ow", by="tile_id")
-    placed = stats.with_slide(scoring.labels(logits, by="tile_id"), known.drop(*CHANNELS), "tile_id")
-    placed = placed.withColumns({"y": F.col("y") + F.col("oy0"), "x": F.col("x") + F.col("ox0")})
-    return scoring.keep_part(placed).select("slide_id", "y", "x", "label")
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for r in frame.itertuples(index=False):
+                bands = [np.frombuffer(getattr(r, c), np.uint8).reshape(r.oh, r.ow) for c in CHANNELS]
+                image = np.stack([_normalised(b) for b in bands], -1).astype(np.float32)
+                p = 1 / (1 + np.exp(-_logits(image, (r.ys, r.xs), scorer, roi, overlap)))
+                over = lambda k: (p[..., k] > 0.5) & (p[..., k] > p[..., 2])
+                label = np.where(over(0), pixel.EPITHELIUM, np.where(over(1), pixel.STROMA, pixel.BACKGROUND))
+                label = label[r.keep_y0 : r.keep_y0 + r.keep_h, r.keep_x0 : r.keep_x0 + r.keep_w]
+                y, x = np.indices(label.shape).reshape(2, -1)
+                yield pd.DataFrame({"slide_id": r.slide_id, "y": y + r.oy0 + r.keep_y0, "x": x + r.ox0 + r.keep_x0, "label": label.ravel()})
+
+    known = tiles.na.drop(subset=[*KEY, *PLACE, *CHANNELS]).where("oh > 0 and ow > 0")
+    starts = [neighbourhood.window_starts(F.col(n), roi, overlap).alias(s) for n, s in (("oh", "ys"), ("ow", "xs"))]
+    return known.select(*KEY, *PLACE, *CHANNELS, *starts).mapInPandas(run, LABELS)
 
 
 def committed(spark: SparkSession, output: str) -> DataFrame:

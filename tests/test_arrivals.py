@@ -10,7 +10,10 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from rasterloom.operators import scoring, stats
+from rasterloom.operators.grid import Grid, tile_grid
 from rasterloom.plans import queries as raster
+from rasterloom.sources.raster import synthetic_raster
 from rasterloom.streaming import arrivals
 
 from .conftest import SF_DIR, rows
@@ -59,6 +62,22 @@ def test_restart_scores_nothing_twice(spark, tmp_path, monkeypatch):
     assert done.count() == done.select(*arrivals.KEY).distinct().count() == stored.count()
 
 
+def test_tiles_by_rows_as_by_pixels(spark):
+    """What a task does with a packed tile is what the operators on pixel rows do."""
+    px = synthetic_raster(spark, 96, 120).toDF("slide_id", "y", "x", *arrivals.CHANNELS)
+    tiles = tile_grid(px.select("slide_id").distinct().withColumns({"h": F.lit(96), "w": F.lit(120)}), Grid(48, 8)).drop("h", "w")
+    inside = scoring.tiles_of(px, tiles, 48, 40).withColumn("tile", F.concat_ws("/", "ri", "ci")).cache()
+    found = arrivals.label_tiles(arrivals.pack_tiles(inside), scoring.placeholder_scorer, roi=20, overlap=0.25)
+    local = inside.select("tile", (F.col("y") - F.col("oy0")).alias("y"), (F.col("x") - F.col("ox0")).alias("x"), *arrivals.CHANNELS, "oh", "ow")
+    ready = stats.with_slide(stats.normalise(local.drop("oh", "ow"), arrivals.CHANNELS, "tile"), local.select("tile", "oh", "ow").distinct(), "tile")
+    logits = scoring.score_windows(ready, arrivals.CHANNELS, scoring.placeholder_scorer, 20, 0.25, height="oh", width="ow", by="tile")
+    placed = scoring.labels(logits, by="tile").join(tiles.withColumn("tile", F.concat_ws("/", "ri", "ci")), "tile")
+    want = scoring.keep_part(placed.withColumns({"y": F.col("y") + F.col("oy0"), "x": F.col("x") + F.col("ox0")})).select("slide_id", "y", "x", "label")
+    assert rows(found) == rows(want)
+    assert found.select("label").distinct().count() > 1
+    assert "Exchange" not in arrivals.label_tiles(spark.createDataFrame([], arrivals.TILES), scoring.placeholder_scorer)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_odd_tiles(spark):
     assert arrivals.label_tiles(spark.createDataFrame([], arrivals.TILES), raster.threshold_scorer).collect() == []
     one = (7, 9, 2, 2, 0, 0, 2, 1)
