@@ -1,7 +1,7 @@
 """Where the tokens of two tokenizers end together.
 
-Python only tokenises. Groups and links are built from arrays by higher-order functions, and what
-is counted over the corpus by grouping and joining.
+Tasks tokenise blocks of texts and cut each distinct part into groups by array operations; what is
+counted over the corpus is counted by grouping and joining.
 """
 
 from __future__ import annotations
@@ -11,18 +11,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..scratch import materialise, shared_dir
 from .common import as_strings, by_bytes, gives_back, string_bytes
-from .pieces import SPACE, list_array, piece_encoder
+from .pieces import SPACE, piece_encoder
 from .tokens import UNSURE, encoder
 
 #: Pairs of ids that are broadcast, at most; the others are joined by a shuffle.
 BROADCAST_PAIRS = 500_000
 #: Parts whose ids a worker remembers for each tokenizer: two of them share its memory here.
-MEMORY = 320_000
+MEMORY = 240_000
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -47,6 +47,7 @@ class TokenBytes:
 
 
 _bytes: dict[str, TokenBytes] = {}
+_numbers: dict[int, TokenBytes] = {}
 
 
 def _word_bytes(path: str) -> TokenBytes:
@@ -65,11 +66,17 @@ def _piece_bytes(path: str) -> TokenBytes:
     return _bytes[path]
 
 
-def _ends(ids: np.ndarray, counts: np.ndarray, table: TokenBytes) -> tuple[np.ndarray, np.ndarray]:
-    """The offset after each token in its text, and the bytes of each text."""
+def _decimals(n: int) -> TokenBytes:
+    """The decimal forms of the ids below ``n``, with a byte behind each."""
+    if n not in _numbers:
+        _numbers[n] = TokenBytes([b"%d," % i for i in range(n)])
+    return _numbers[n]
+
+
+def _sizes(ids: np.ndarray, counts: np.ndarray, table: TokenBytes) -> np.ndarray:
+    """The bytes of each text."""
     upto = np.concatenate(([0], np.cumsum(table.size[ids])))
-    first = upto[np.concatenate(([0], np.cumsum(counts)))]
-    return upto[1:] - np.repeat(first[:-1], counts), np.diff(first)
+    return np.diff(upto[np.concatenate(([0], np.cumsum(counts)))])
 
 
 def _parts(texts: pa.Array) -> pa.ListArray:
@@ -86,15 +93,46 @@ def _parts(texts: pa.Array) -> pa.ListArray:
     return pa.concat_arrays([easy, hard]).take(pa.array(place))
 
 
-def tokenise_both(docs: DataFrame, words: str, model: str, id_col: str = "doc_id", text_col: str = "text", block: int = 1 << 21) -> DataFrame:
-    """``docs, parts``: a row for each block of texts of about ``block`` bytes.
+def _groups(a: np.ndarray, a_counts: np.ndarray, a_table: TokenBytes, b: np.ndarray, b_counts: np.ndarray, b_table: TokenBytes) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """For parts whose two sides have the same bytes: their groups as text, each with ``;`` behind it,
+    the packed ids of tokens that end together, and the number of these in each part.
 
-    ``docs`` has ``(id, parts)`` a text, its parts as indexes into ``parts``, in order; ``parts`` has
-    ``(a, a_end, b, b_end)``, ids and byte offsets after each token, of every distinct part of the
-    block, once. A part is a space and what follows up to the next space, so both tokenizers end a
-    token with it; texts with spaces in a row or other odd ones are one part. A encodes by the
-    byte-level vocabulary ``words``, strings of special tokens as plain text; B by ``model``. Null
-    and empty texts, and those that a side does not give back byte for byte, have no parts.
+    All parts lie on one line of bytes, so where both sides end is read off two bit maps of it.
+    """
+    a_ends, b_ends = np.cumsum(a_table.size[a]), np.cumsum(b_table.size[b])
+    ends_a, ends_b = (np.zeros(int(a_ends[-1]) + 1 if len(a) else 1, bool) for _ in range(2))
+    ends_a[a_ends], ends_b[b_ends] = True, True
+    a_cut, b_cut = ends_b[a_ends], ends_a[b_ends]
+    a_last, b_last = np.flatnonzero(a_cut), np.flatnonzero(b_cut)
+    pairs = a[a_last].astype(np.int64) << 32 | b[b_last]
+    bounds = np.concatenate(([0], np.cumsum(a_counts)))
+    n_pairs = np.diff(np.concatenate(([0], np.cumsum(a_cut)))[bounds])
+    # the tokens in the order of the text: a group's of A, then its of B
+    b_first = np.concatenate(([0], b_last + 1))
+    a_place = np.arange(len(a)) + b_first[np.cumsum(a_cut) - a_cut]
+    b_place = np.arange(len(b)) + (a_last + 1)[np.cumsum(b_cut) - b_cut]
+    ids, behind = np.empty(len(a) + len(b), np.int64), np.full(len(a) + len(b), ord(","), np.uint8)
+    ids[a_place], ids[b_place] = a, b
+    behind[a_place[a_last]], behind[b_place[b_last]] = ord("|"), ord(";")
+    decimals = _decimals(max(len(a_table.size), len(b_table.size)))
+    text, upto = decimals.join(ids), np.cumsum(decimals.size[ids])
+    text[upto - 1] = behind
+    offsets = np.concatenate(([0], upto))[bounds + np.concatenate(([0], np.cumsum(b_counts)))]
+    return pa.Array.from_buffers(pa.binary(), len(a_counts), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(text)]), pairs, n_pairs
+
+
+def align(docs: DataFrame, words: str, model: str, id_col: str = "doc_id", text_col: str = "text", block: int = 1 << 21) -> DataFrame:
+    """``id, n_a, n_b, groups, pairs``, a row a text.
+
+    ``groups`` is ``a1,a2|b1;a3|b2,b3``: the ids of both sides, group by group; ``pairs`` are the
+    packed ids of tokens that end together. A encodes by the byte-level vocabulary ``words``, strings
+    of special tokens as plain text; B by ``model``. Offsets where tokens of both sides end cut a text
+    into groups; the last tokens of a group's two sides end together, and no others do.
+
+    A part is a space and what follows up to the next space, so both tokenizers end a token with it
+    (texts with spaces in a row or other odd ones are one part). Each distinct part of about ``block``
+    bytes of texts is aligned once; a text's groups are those of its parts. Null and empty texts, and
+    those that a side does not give back byte for byte, have no tokens.
     """
     kind = docs.select(F.col(f"`{id_col}`").alias("id")).schema["id"].dataType.simpleString()
 
@@ -104,29 +142,38 @@ def tokenise_both(docs: DataFrame, words: str, model: str, id_col: str = "doc_id
         for batch in batches:
             every = as_strings(batch, "text")
             for lo, hi in by_bytes(every, block):
-                texts = every.slice(lo, hi - lo)
-                lists = _parts(texts)
+                lists = _parts(every.slice(lo, hi - lo))
                 bounds = np.asarray(lists.offsets, dtype=np.int64)
                 bounds = bounds - bounds[0]
                 flat = lists.flatten().dictionary_encode()
                 parts, code = flat.dictionary, np.asarray(flat.indices)
                 want = string_bytes(pc.binary_join_element_wise(pa.scalar("", parts.type), parts, " "))
-                good, arrays = np.asarray(pc.binary_length(parts)) > 0, []
+                good, found = np.asarray(pc.binary_length(parts)) > 0, []
                 for encode, table in sides:
                     ids, counts = encode.encode(parts)
-                    ends, sizes = _ends(ids, counts, table)
-                    good = good & _same(table.join(ids), sizes, *want)
-                    arrays += [list_array(ids, counts), list_array(ends, counts)]
+                    good = good & _same(table.join(ids), _sizes(ids, counts, table), *want)
+                    found.append((ids, counts, table))
+                sides_of = [x for ids, counts, table in found for x in (ids[np.repeat(good, counts)], counts * good, table)]
+                groups, pairs, n_pairs = _groups(*sides_of)
+                # a text without a part that a side does not give back has its parts' groups, others none
                 bad = np.concatenate(([0], np.cumsum(~good[code])))
                 keep = bad[bounds[1:]] == bad[bounds[:-1]]
-                each = list_array(code[np.repeat(keep, np.diff(bounds))], np.diff(bounds) * keep)
-                rows = pa.StructArray.from_arrays([batch.column(0).slice(lo, hi - lo), each], ["id", "parts"])
-                tokens = pa.StructArray.from_arrays(arrays, ["a", "a_end", "b", "b_end"])
-                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (rows, tokens)], ["docs", "parts"])
+                code = code[np.repeat(keep, np.diff(bounds))]
+                bounds = np.concatenate(([0], np.cumsum(np.diff(bounds) * keep)))
+                total = lambda x: np.concatenate(([0], np.cumsum(x[code])))[bounds]
+                text = groups.take(pa.array(code))
+                start = np.asarray(np.frombuffer(text.buffers()[1], np.int32, len(code) + 1))[bounds]
+                text = pa.Array.from_buffers(pa.binary(), hi - lo, [None, pa.py_buffer(start), text.buffers()[2]])
+                each = n_pairs[code]
+                source = np.repeat((np.cumsum(n_pairs) - n_pairs)[code] - (np.cumsum(each) - each), each) + np.arange(each.sum())
+                linked = pa.ListArray.from_arrays(pa.array(total(n_pairs), pa.int32()), pa.array(pairs[source]))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(lo, hi - lo), *(pa.array(np.diff(total(x))) for x in (sides_of[1], sides_of[4])), pc.binary_slice(text, 0, -1).cast(pa.string()), linked],
+                    ["id", "n_a", "n_b", "groups", "pairs"],
+                )
 
     plain = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    lists = ", ".join(f"{c}: array<int>" for c in ("a", "a_end", "b", "b_end"))
-    return plain.mapInArrow(run, f"docs array<struct<id: {kind}, parts: array<int>>>, parts array<struct<{lists}>>")
+    return plain.mapInArrow(run, f"id {kind}, n_a long, n_b long, groups string, pairs array<long>")
 
 
 def _same(got: np.ndarray, sizes: np.ndarray, want: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -142,70 +189,6 @@ def _same(got: np.ndarray, sizes: np.ndarray, want: np.ndarray, offsets: np.ndar
     return same
 
 
-def _let(value: Column, then) -> Column:
-    """``then(value)`` with ``value`` computed once."""
-    return F.element_at(F.transform(F.array(value), then), 1)
-
-
-def _places(ends: Column, cuts: Column) -> Column:
-    """Where in the rising ``ends`` each of ``cuts``, all among them, stands: one sort of both.
-
-    Each offset is packed above its place, each cut above a mark that sorts behind every place; an
-    entry that a mark follows is the one that is cut after.
-    """
-    mark = (1 << 32) - 1
-    packed = F.transform(ends, lambda e, i: F.shiftleft(e.cast("long"), 32) + i)
-    marks = F.transform(cuts, lambda e: F.shiftleft(e.cast("long"), 32) + F.lit(mark))
-    low = lambda x: x.bitwiseAND(F.lit(mark))
-    cut = _let(F.sort_array(F.concat(packed, marks)), lambda s: F.filter(s, lambda x, i: low(F.get(s, i + 1)) == mark))
-    return F.transform(cut, lambda x: low(x).cast("int"))
-
-
-def _packed(a: Column, b: Column) -> Column:
-    return F.shiftleft(a.cast("long"), 32) + b.cast("long")
-
-
-def _ids(ids: Column, lo: Column, hi: Column) -> Column:
-    """The decimal ids from ``lo`` to ``hi``, joined by commas."""
-    return F.when(lo == hi, F.get(ids, lo).cast("string")).otherwise(F.array_join(F.slice(ids, lo + 1, hi - lo + 1), ","))
-
-
-def align(tokens: DataFrame) -> DataFrame:
-    """``id, n_a, n_b, groups, pairs``, a row a text, of what ``tokenise_both`` gives.
-
-    ``groups`` is ``a1,a2|b1;a3|b2,b3``: the ids of both sides, group by group; ``pairs`` are the
-    packed ids of tokens that end together. A block's distinct parts are aligned once, and a text's
-    groups are those of its parts in order, as every part ends a token on both sides. Offsets where
-    tokens of both sides end cut a part into groups; the last tokens of a group's two sides end
-    together, and no others do. Work is that of sorting the offsets.
-    """
-    def part(t: Column) -> Column:
-        def of(at: Column) -> Column:
-            begin = lambda side, i: F.when(i > 0, F.get(at[side], i - 1) + 1).otherwise(0)
-            group = lambda hi, i: F.concat(_ids(t["a"], begin("a", i), hi), F.lit("|"), _ids(t["b"], begin("b", i), F.get(at["b"], i)))
-            pair = lambda hi, i: _packed(F.get(t["a"], hi), F.get(t["b"], F.get(at["b"], i)))
-            return F.struct(F.array_join(F.transform(at["a"], group), ";").alias("text"), F.transform(at["a"], pair).alias("pairs"), *sizes)
-
-        n_a, n_b = F.size(t["a"]), F.size(t["b"])
-        sizes = [n_a.alias("a"), n_b.alias("b")]
-        one = F.concat(F.array_join(t["a"], ","), F.lit("|"), F.array_join(t["b"], ","))
-        whole = F.struct(one.alias("text"), F.array(_packed(F.get(t["a"], n_a - 1), F.get(t["b"], n_b - 1))).alias("pairs"), *sizes)
-        cuts = F.array_intersect(t["a_end"], t["b_end"])
-        places = lambda c: F.struct(_places(t["a_end"], c).alias("a"), _places(t["b_end"], c).alias("b"))
-        several = _let(_let(cuts, places), of)
-        return F.when((n_a == 1) & (n_b > 0) | (n_b == 1) & (n_a > 0), whole).otherwise(several)  # one token can't be cut
-
-    def text(d: Column, every: Column) -> Column:
-        each = F.transform(d["parts"], lambda i: F.get(every, i))
-        total = lambda x, side: F.aggregate(x, F.lit(0).cast("long"), lambda s, p: s + p[side])
-        return _let(each, lambda x: F.struct(
-            d["id"].alias("id"), total(x, "a").alias("n_a"), total(x, "b").alias("n_b"), F.array_join(x["text"], ";").alias("groups"), F.flatten(x["pairs"]).alias("pairs"),
-        ))
-
-    whole = _let(F.transform("parts", part), lambda every: F.transform(F.col("docs"), lambda d: text(d, every)))
-    return tokens.select(F.inline(whole))
-
-
 def pair_counts(rows: DataFrame) -> DataFrame:
     """``pair, n, best`` of a column ``pairs`` of packed id pairs: how often each occurs, and whether
     no pair of the same B id occurs oftener. Counted on the map side before anything is shuffled."""
@@ -255,7 +238,7 @@ def align_documents(docs: DataFrame, words: str, model: str, id_col: str = "doc_
     identifiers are kept; ties for a B id's highest count are all best; other columns of any name
     don't matter; an empty table gives an empty one. What a text of any length needs is its arrays.
     """
-    found = align(tokenise_both(docs, words, model, id_col, text_col))
+    found = align(docs, words, model, id_col, text_col)
     size = F.size("pairs").cast("long")  # a group has one link
     digest = F.when(F.size("pairs") > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256")
     rows = found.select(F.monotonically_increasing_id().alias("row"), "id", "n_a", "n_b", size.alias("n_groups"), size.alias("n_links"), digest, "pairs")

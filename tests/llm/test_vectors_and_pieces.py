@@ -116,6 +116,16 @@ def test_alignment_query(spark):
     assert sorted(map(tuple, got)) == sorted(brute_alignment([tuple(r) for r in source]))
 
 
+def test_groups_come_from_the_tasks_arrays(docs):
+    """Groups and pairs leave the tasks as such; no higher-order function runs over them in rows."""
+    some = docs.where("text is null or text = '' or length(text) < 30")
+    out = alignment.align(some, WORDS, MODEL)
+    assert out.columns == ["id", "n_a", "n_b", "groups", "pairs"] and "lambda" not in out._jdf.queryExecution().toString()
+    got = sorted(((r["id"], r["n_a"], r["n_b"], len(r["pairs"]), hashlib.sha256(r["groups"].encode()).hexdigest() if r["groups"] else "") for r in out.collect()), key=repr)
+    assert got == sorted(((k, na, nb, n, digest) for k, na, nb, _, n, _, _, digest in brute_alignment([(r["doc_id"], r["text"]) for r in some.collect()])), key=repr)
+    assert [tuple(r) for r in alignment.align(docs.where("text is null"), WORDS, MODEL).collect()] == [(0, 0, 0, "", [])]
+
+
 def test_alignment_of_odd_rows(docs):
     out = alignment.align_documents(docs, WORDS, MODEL)
     order = lambda rows: sorted(rows, key=repr)
