@@ -132,13 +132,14 @@ def _evolve(lengths: np.ndarray, population: list[np.ndarray], capacity: int, ge
 
 def pack(
     items: DataFrame, capacity: int, id_col: str = "uid", length_col: str = "length", block_items: int = 16_384,
-    islands: int = 2, epochs: int = 2, generations: int = 5, population: int = 4, seed: int = 11, max_tasks: int = 20_000,
+    islands: int = 2, epochs: int = 2, generations: int = 60, population: int = 8, seed: int = 11, max_tasks: int = 20_000,
 ) -> DataFrame:
     """``id_col, sequence_id, offset`` for items of 1 to ``capacity``; ``id_col`` must be unique.
 
     Items that fill a sequence have one to themselves. The others are dealt by a hash into blocks
     of about ``block_items``; each block is packed by ``islands`` populations apart, and between
-    ``epochs`` each island's best packing moves to the next island of its block. The best packing
+    ``epochs`` each island's best packing moves to the next island of its block. An island goes through
+    ``generations`` an epoch, less only where no packing can need fewer sequences. The best packing
     of a block stays. A block costs at most one part-filled sequence, whatever the corpus size.
     """
     todo = items.where(F.col(length_col) < capacity)

@@ -252,6 +252,19 @@ def test_crossover_beats_best_fit():
     assert won > 0
 
 
+def test_packing_by_default_beats_best_fit(spark):
+    """What ``pack`` does unless told otherwise is enough of a search to save sequences."""
+    won = 0
+    for seed in range(3):
+        lengths = np.sort(np.random.default_rng(seed).integers(200, 520, 240))[::-1].astype(np.int64)
+        plain = np.full(len(lengths), -1, np.int64)
+        packing._best_fit(lengths.tolist(), list(range(len(lengths))), plain, [], 1024)
+        got = packing.pack(spark.createDataFrame(list(enumerate(lengths.tolist())), "uid long, length long"), 1024).collect()
+        assert sorted(r["uid"] for r in got) == list(range(240))
+        won += int(plain.max()) + 1 - len({r["sequence_id"] for r in got})
+    assert won > 2  # five generations of four packings win two
+
+
 def test_orc_round_trip(spark, docs, none):
     expected = ids_of("word_bpe_49k.json", [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()], 1)
     at = 0
