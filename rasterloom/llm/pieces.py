@@ -21,6 +21,7 @@ from .common import as_strings, by_bytes, gives_back, string_bytes
 
 SPACE = "▁"  # how pieces write a space
 _CUT = "\x00"
+_LOW = float("-inf")
 #: Parts of a text that no piece reaches across: a word with the spaces before it, spaces, line ends.
 _PARTS = rf"({SPACE}*[^{SPACE}\n]+|{SPACE}+|\n+)"
 
@@ -54,9 +55,15 @@ class PieceEncoder:
         #: bytes of each id's text
         self.width = np.array([1 if p.is_byte(i) else 0 if t is None else len(t.replace(SPACE, " ").encode()) for i, t in enumerate(self.pieces)])
         self.automaton = ahocorasick.Automaton()
+        #: the longest piece that each prefix of a piece begins with
+        self.match: dict[str, int] = {}
         for t, i in self.id.items():
             self.automaton.add_word(t, i)
-        self.automaton.make_automaton()
+            longest = self.id[t[0]]
+            for n in range(1, len(t) + 1):
+                longest = self.match[t[:n]] = self.id.get(t[:n], longest)
+        self.widest = max(map(len, self.id))
+        self.single = {t for t in self.id if len(t) == 1}
         self.size = [len(t or "") for t in self.pieces]
         #: the longest piece that is a proper prefix, or -1
         self.shorter = [next((self.id[t[:n]] for n in range(len(t) - 1, 0, -1) if t[:n] in self.id), -1) if t else -1 for t in self.pieces]
@@ -68,7 +75,9 @@ class PieceEncoder:
         for c in marks:
             self.tails[ord(c)] = self.id[c]
         self.marked = rf"[\pL\pN][{re.escape(''.join(marks))}]$" if marks else "^$^"
+        self.rank = {t: self.score[i] for t, i in self.id.items()}
         self.checked: dict[int, bool] = {}
+        self.histories: dict[int, tuple | None] = {}
         self._forget()
 
     def _forget(self) -> None:
@@ -88,24 +97,72 @@ class PieceEncoder:
                 return parts
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
+    def _history(self, piece: int) -> tuple[list[float], list[str], list[str]] | None:
+        """The scores by which a piece's characters merge, in order, and its first and its last part before
+        each merge; None if they don't become the piece. The last score is below all."""
+        rank, parts = self.rank, list(self.pieces[piece])
+        near = [rank.get(x + y, _LOW) for x, y in zip(parts, parts[1:])]
+        scores, firsts, lasts = [], [parts[0]], [parts[-1]]
+        while near:
+            best = max(near)
+            if best == _LOW:
+                return None
+            k = near.index(best)  # the leftmost of equal ones
+            parts[k : k + 2] = [parts[k] + parts[k + 1]]
+            del near[k]
+            if k:
+                near[k - 1] = rank.get(parts[k - 1] + parts[k], _LOW)
+            if k < len(near):
+                near[k] = rank.get(parts[k] + parts[k + 1], _LOW)
+            scores.append(best)
+            firsts.append(parts[0])
+            lasts.append(parts[-1])
+        return [*scores, _LOW], firsts, lasts
+
+    def _steps(self, piece: int) -> tuple[list[float], list[str], list[str]] | None:
+        if piece not in self.histories:
+            self.histories[piece] = self._history(piece)
+        return self.histories[piece]
+
+    def _apart(self, before: int, piece: int) -> bool:
+        """Each side merges as it does alone for as long as no better pair lies across the border."""
+        right = self._steps(piece)
+        left = self._steps(before) if before >= 0 else None
+        if before < 0 or left is None or right is None:
+            return before < 0 and right is not None
+        rank, (on_left, _, lasts), (on_right, firsts, _) = self.rank, left, right
+        i = j = 0
+        while True:
+            across, a, b = rank.get(lasts[i] + firsts[j], _LOW), on_left[i], on_right[j]
+            if a >= b:  # of equal scores the leftmost pair merges
+                if across > a:
+                    return False
+                if a == _LOW:
+                    return True
+                i += 1
+            else:
+                if across >= b:
+                    return False
+                j += 1
+
     def fits(self, before: int, piece: int) -> bool:
         """Whether merging leaves ``before`` and ``piece`` as they are, side by side (-1: nothing before)."""
-        pair = [self.pieces[i] for i in (before, piece) if i >= 0]
-        found = self.merged("".join(pair)) == pair
+        found = self._apart(before, piece)
         if len(self.checked) >= self.memory:
             self.checked.clear()
         self.checked[before * self.step + piece] = found
         return found
 
-    def _backtrack(self, longest: list[int], begin: int, end: int) -> list[int]:
-        """The pieces of a part without unknown characters, from the longest match at each position."""
+    def _backtrack(self, text: str) -> list[int]:
+        """The pieces of a part without unknown characters; longest matches are sought where a piece ends."""
         size, shorter, checked, step = self.size, self.shorter, self.checked, self.step
+        prefix, match, widest, end = self.automaton.longest_prefix, self.match, self.widest, len(text)
         out: list[int] = []
         failed = None  # a bit a position from which nothing fits
-        at, before, piece = begin, -1, longest[begin]
+        at, before, piece = 0, -1, match[text[: prefix(text[:widest])]]
         while True:
             to = at + size[piece]
-            if failed is None or not failed[to - begin >> 3] & 1 << (to - begin & 7):
+            if failed is None or not failed[to >> 3] & 1 << (to & 7):
                 good = checked.get(before * step + piece)
                 if good is None:
                     good = self.fits(before, piece)
@@ -113,30 +170,27 @@ class PieceEncoder:
                     out.append(piece)
                     if to == end:
                         return out
-                    at, before, piece = to, piece, longest[to]
+                    at, before = to, piece
+                    piece = match[text[to : to + prefix(text[to : to + widest])]]
                     continue
             piece = shorter[piece]
             while piece < 0:  # nothing fits here: the piece before gives way
                 if not out:
                     raise AssertionError("no sequence of pieces gives this text")
-                failed = failed or bytearray((end - begin) // 8 + 1)
-                failed[at - begin >> 3] |= 1 << (at - begin & 7)
+                failed = failed or bytearray(end // 8 + 1)
+                failed[at >> 3] |= 1 << (at & 7)
                 last = out.pop()
                 at, before, piece = at - size[last], out[-1] if out else -1, shorter[last]
 
     def part(self, text: str) -> list[int]:
         """The ids of a part in which spaces are escaped."""
-        size, n = self.size, len(text)
-        longest = [-1] * n
-        for last, i in self.automaton.iter(text):
-            longest[last + 1 - size[i]] = i  # matches come by their ends, so longer ones later
-        if -1 not in longest:
-            return self._backtrack(longest, 0, n) if n else []
+        if self.single.issuperset(text):
+            return self._backtrack(text) if text else []
         out, begin = [], 0
-        for at in [*(k for k, i in enumerate(longest) if i < 0), n]:  # unknown characters, and the end
+        for at in [*(k for k, c in enumerate(text) if c not in self.single), len(text)]:  # unknown characters, and the end
             if begin < at:
-                out += self._backtrack(longest, begin, at)
-            if at < n:
+                out += self._backtrack(text[begin:at])
+            if at < len(text):
                 out += [self.byte[b] for b in text[at].encode()]
             begin = at + 1
         return out
@@ -164,17 +218,21 @@ class PieceEncoder:
         """Where the ids of parts lie in the pool."""
         if len(self.known) + len(parts) > self.memory:
             self._forget()
-        missing = [w for w in parts if w not in self.known]
+        at = list(map(self.known.get, parts))
+        missing = list(dict.fromkeys([w for w, k in zip(parts, at) if k is None]))
         if missing:
-            missing = list(dict.fromkeys(missing))
-            ids = [self.part(w) for w in missing]
-            length = np.array([len(x) for x in ids], np.int64)
+            part, ids, length = self.part, [], []
             for k, w in enumerate(missing, len(self.known)):
+                found = part(w)
+                ids += found
+                length.append(len(found))
                 self.known[w] = k
+            length = np.array(length, np.int64)
             self.start = np.append(self.start, len(self.pool) + np.cumsum(length) - length)
             self.length = np.append(self.length, length)
-            self.pool = np.append(self.pool, np.array([i for x in ids for i in x], np.int32))
-        return np.array([self.known[w] for w in parts], np.int64)
+            self.pool = np.append(self.pool, np.array(ids, np.int32))
+            at = [self.known[w] if k is None else k for w, k in zip(parts, at)]
+        return np.array(at, np.int64)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Empty texts have no ids."""

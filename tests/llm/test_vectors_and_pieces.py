@@ -58,6 +58,16 @@ def test_neighbours_fit_exactly_where_merging_keeps_them(library):
         assert [encoder.pieces[i] for i in encoder.part(text)] == encoder.merged(text)
 
 
+def test_neighbours_of_any_length_fit_where_merging_keeps_them():
+    """What two pieces' own merges tell about their border is what merging both again gives, without doing so."""
+    encoder, rng = pieces.PieceEncoder(MODEL), random.Random(5)
+    every = [i for i, t in enumerate(encoder.pieces) if t]
+    pairs = [(-1, i) for i in rng.choices(every, k=2000)] + [tuple(rng.choices(every, k=2)) for _ in range(5000)]
+    want = [encoder.merged("".join(encoder.pieces[i] for i in p if i >= 0)) == [encoder.pieces[i] for i in p if i >= 0] for p in pairs]
+    encoder.merged = None
+    assert [encoder.fits(*p) for p in pairs] == want and any(want) and not all(want)
+
+
 def test_piece_query(spark, library):
     got = {r["doc_id"]: r for r in queries.op11_piece_round_trip(spark, SF_DIR).collect()}
     for r in queries.table(spark, SF_DIR, "documents").collect():
