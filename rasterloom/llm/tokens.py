@@ -9,7 +9,6 @@ whole, so ids are always the library's.
 from __future__ import annotations
 
 import os
-import re
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +20,6 @@ from .common import string_bytes
 _WS = r"[\t\n\x0b\x0c\r \x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 UNSURE = rf"(?:^ | $|{_WS} | {_WS})"
 _SEPARATOR = "\x01"
-_LETTERS = re.compile("[A-Za-z]+").fullmatch
 
 
 class WordEncoder:
@@ -60,6 +58,15 @@ class WordEncoder:
         for c in ".,;:!?":
             if len(plain(c)) == 1 and all(plain(w + c) == plain(w) + plain(c) for w in ("q", "zq", "7", "word", " word")):
                 self.tails[ord(c)] = plain(c)[0]
+        #: how the model itself merges a word of letters, where nothing happens to it before that
+        front, alphabet = "Ġ" if self.spaced else "", "abcdefghijklmnopqrstuvwxyz"
+        alphabet += "" if self.folds else alphabet.upper()
+        shown = alphabet if tok.normalizer is None else tok.normalizer.normalize_str(alphabet)
+        split = tok.pre_tokenizer.pre_tokenize_str(" " * self.spaced + shown) if tok.pre_tokenizer else []
+        model, probes = tok.model, ["a", "zq", "word", "tion", alphabet, alphabet[::-1]]
+        alike = shown == alphabet and [x for x, _ in split] == [front + alphabet] and not getattr(model, "dropout", None)
+        alike = alike and all([t.id for t in model.tokenize(front + w)] == plain(" " * self.spaced + w) for w in probes)
+        self.front, self.merge = front, model.tokenize if alike else None
         self._forget()
 
     def _forget(self) -> None:
@@ -87,10 +94,12 @@ class WordEncoder:
         if len(self.known) + len(bases) > self.memory:
             self._forget()
         known = self.known
-        missing = [w for w in bases if w not in known]
+        at = list(map(known.get, bases))
+        missing = [w for w, k in zip(bases, at) if k is None]
         if missing:
             self._encode_words(missing)
-        at = np.array([known[w] for w in bases], np.int64)[np.asarray(bare.indices)] if bases else np.zeros(0, np.int64)
+            at = [known[w] if k is None else k for w, k in zip(bases, at)]
+        at = np.array(at, np.int64)[np.asarray(bare.indices)]
         stem = self.length[at]
         length = stem + marked
         begin, first = np.cumsum(length) - length, np.cumsum(stem) - stem
@@ -100,18 +109,30 @@ class WordEncoder:
         return pool, begin, length
 
     def _encode_words(self, words: list[str]) -> None:
+        letters = [w for w in words if w.isascii() and w.isalpha()]
+        if letters and self.merge is not None:
+            merge, front, length, ids = self.merge, self.front, [], []
+            for w in letters:
+                found = merge(front + w)
+                length.append(len(found))
+                ids += [t.id for t in found]
+            self._keep(letters, np.array(ids, np.int32), np.array(length, np.int64))
+            words = [w for w in words if not (w.isascii() and w.isalpha())] if len(letters) < len(words) else []
+            if not words:
+                return
+            letters = []
         if self.spaced:
             chunks = ["".join([" " + w for w in words[i : i + 1000]]) for i in range(0, len(words), 1000)]
             ids = np.concatenate([np.array(x, np.int32) for x in self._plain(chunks)])
             at = np.flatnonzero(self.opens[ids])
             length = np.diff(np.append(at, len(ids)))
-        elif all(map(_LETTERS, words)):  # a word of letters ends at the one token that closes it
+        elif len(letters) == len(words):  # a word of letters ends at the one token that closes it
             chunks = [" ".join(words[i : i + 1000]) for i in range(0, len(words), 1000)]
             ids = np.concatenate([np.array(x, np.int32) for x in self._plain(chunks)])
             length = np.diff(np.concatenate(([-1], np.flatnonzero(self.closes[ids]))))
-        elif any(map(_LETTERS, words)):
-            self._encode_words([w for w in words if _LETTERS(w)])
-            return self._encode_words([w for w in words if not _LETTERS(w)])
+        elif letters:
+            self._encode_words(letters)
+            return self._encode_words([w for w in words if not (w.isascii() and w.isalpha())])
         elif self.mark is not None and not any(_SEPARATOR in w for w in words):
             join = f" {_SEPARATOR} ".join
             chunks = [join(words[i : i + 1000]) + f" {_SEPARATOR}" for i in range(0, len(words), 1000)]
@@ -127,6 +148,9 @@ class WordEncoder:
             each = self._plain([" " + w for w in words] if self.spaced else words)
             length = np.array([len(x) for x in each], np.int64)
             ids = np.array([y for x in each for y in x], np.int32)
+        self._keep(words, ids, length)
+
+    def _keep(self, words: list[str], ids: np.ndarray, length: np.ndarray) -> None:
         begin = len(self.ids) + np.concatenate(([0], np.cumsum(length)[:-1]))
         for k, w in enumerate(words, len(self.known)):
             self.known[w] = k

@@ -193,6 +193,21 @@ def test_tokens_equal_the_library(spark):
         assert counts.tolist() == [len(x) for x in want] and ids.tolist() == [i for x in want for i in x]
 
 
+def test_words_of_letters_are_merged_by_the_model():
+    """Plain words skip the normaliser and the pre-tokenizer; their ids are the library's."""
+    import pyarrow as pa
+
+    words = ["a", "I", "word", "Unseenly", "tokenizations", "zq" * 40, "don't", "Über", "x1", "s"]
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        encoder = tokens.WordEncoder(queries.vocabulary(name))
+        want = [encoder._plain([f"q {w} q"])[0] for w in words]
+        through, whole = [], encoder._plain
+        encoder._plain = lambda texts: through.extend(texts) or whole(texts)
+        ids, counts = encoder.encode(pa.array([f"q {w} q" for w in words]))
+        assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == want
+        assert not any("nseenly" in t for t in through) and any("don't" in t for t in through)
+
+
 def check_packing(got, expected: dict, capacity: int) -> int:
     """Whole documents, right checksums, gapless sequences within capacity; the number of sequences."""
     by_doc, by_seq = {}, {}
