@@ -311,13 +311,22 @@ def decode_pieces(tokens: DataFrame, model: str, ids_col: str = "ids", text_col:
         for batch in batches:
             ids = batch.column(place)
             for a, b in _by_ids(ids):
-                some = [x or [] for x in ids.slice(a, b - a).to_pylist()]
+                some = _id_lists(ids.slice(a, b - a))
                 texts = pa.array(processor.decode(some, num_threads=1) if some else [], pa.string())
                 yield pa.RecordBatch.from_arrays([*(c.slice(a, b - a) for c in batch.columns), texts], schema.names)
 
     return tokens.mapInArrow(run, schema)
 
 
+def _id_lists(ids: pa.Array) -> list[list[int]]:
+    """``to_pylist`` with null as no ids, by slices of one list: no Arrow scalar is made for each id."""
+    flat = ids.flatten()
+    if flat.null_count:
+        return [x or [] for x in ids.to_pylist()]
+    every, ends = flat.to_numpy().tolist(), np.cumsum(pc.fill_null(pc.list_value_length(ids), 0)).tolist()
+    return [every[a:b] for a, b in zip([0, *ends], ends)]
+
+
 def _by_ids(ids: pa.Array, limit: int = 1 << 19) -> Iterator[tuple[int, int]]:
     ends = np.cumsum(np.asarray(pc.fill_null(pc.list_value_length(ids), 0)))
     at = 0
