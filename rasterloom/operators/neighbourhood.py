@@ -111,21 +111,29 @@ def reflect_pad(pixels: DataFrame, values: list[str], height: Column, width: Col
     """``by, y, x, values`` padded to a multiple of ``multiple`` by mirroring; an odd pixel goes to the end.
 
     Axes shorter than their padding are mirrored to and fro. Each source pixel knows its mirror
-    images, so nothing is joined. Coordinates stay relative to the source: padding at the start is
-    negative.
+    images, so nothing is joined, and counts them out, so work does not depend on the axis' length.
+    Coordinates stay relative to the source: padding at the start is negative.
     """
 
-    def images(i: str, n: Column) -> Column:
-        pad = F.pmod(-n, F.lit(multiple))
-        before = F.floor(pad / 2).cast("int")
-        places = F.sequence(-before, n - 1 + pad - before)
-        period = F.greatest(F.lit(1), 2 * (n - 1))
-        fold = lambda p: F.when(F.pmod(p, period) < n, F.pmod(p, period)).otherwise(period - F.pmod(p, period))
-        edges = F.filter(places, lambda p: (p < 0) | (p >= n))
-        return F.concat(F.array(F.col(i)), F.filter(edges, lambda p: fold(p) == F.col(i)))
-
-    rows = pixels.select(by, *values, images("y", height.cast("int")).alias("_ys"), images("x", width.cast("int")).alias("_xs"))
-    return rows.withColumn("y", F.explode("_ys")).withColumn("x", F.explode("_xs")).select(by, "y", "x", *values)
+    def mirrored(rows: DataFrame, i: str, n: Column) -> DataFrame:
+        """A row for each place of ``i``: ``_a`` and ``_b`` are the first ones whole periods from ``i`` and from ``-i``.
+
+        Steps are columns of their own: one expression of sequences took eight times as long.
+        """
+        at, pad = F.col(i), F.pmod(-n, F.lit(multiple))
+        start, inside = -F.floor(pad / 2).cast("int"), (F.col(i) >= 0) & (F.col(i) < n)
+        first = lambda p: F.col("_lo") + F.pmod(p - F.col("_lo"), F.col("_period"))
+        rows = rows.withColumns({"_lo": start, "_hi": start + n - 1 + pad, "_period": F.greatest(F.lit(1), 2 * (n - 1))})
+        rows = rows.withColumns({"_a": F.when(inside, first(at)).otherwise(at), "_b": first(-at)})
+        further = F.when(inside, F.expr("cast((_hi - _a) div _period as int)")).otherwise(0)
+        apart = inside & (F.pmod(at + at, F.col("_period")) != 0) & (F.col("_b") <= F.col("_hi"))
+        rows = rows.withColumns({"_further": further, "_others": F.when(apart, F.expr("cast((_hi - _b) div _period as int) + 1")).otherwise(0)})
+        rows = rows.withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("_further") + F.col("_others"))))
+        place = F.expr("if(_k <= _further, _a + _k * _period, _b + (_k - _further - 1) * _period)")
+        return rows.withColumn(i, place).drop("_lo", "_hi", "_period", "_a", "_b", "_further", "_others", "_k")
+
+    rows = pixels.select(by, "y", "x", *values, height.cast("int").alias("_h"), width.cast("int").alias("_w")).where("_h is not null and _w is not null")
+    return mirrored(mirrored(rows, "y", F.col("_h")), "x", F.col("_w")).select(by, "y", "x", *values)
 
 
 def window_starts(size: Column, roi: int, overlap: float) -> Column:
