@@ -12,10 +12,13 @@ from .stats import fraction, with_slide
 
 
 def _span(origin: str, length: str, out: str, thumb: str) -> tuple[Column, Column]:
-    """First and last (exclusive) thumbnail pixel under a span of output pixels."""
-    lo = F.expr(f"cast({origin} * {thumb} div {out} as int)")
-    hi = F.least(F.col(thumb), F.expr(f"cast(({origin} + {length}) * {thumb} div {out} as int)") + 1)
-    return lo, hi
+    """First and last (exclusive) thumbnail pixel under a span of output pixels.
+
+    Products of two positions need more than 32 bits.
+    """
+    at = lambda place: F.expr(f"cast(({place}) * {thumb} div {out} as int)")
+    wide = f"cast({origin} as bigint)"
+    return at(wide), F.least(F.col(thumb), at(f"{wide} + {length}") + 1)
 
 
 def gate_tiles(tiles: DataFrame, mask: DataFrame, flag: str = "tissue", least: float = 0.01, cell: int = 64, by: str = "slide_id") -> DataFrame:
