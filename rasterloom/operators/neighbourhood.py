@@ -65,7 +65,7 @@ def nearest_resize(pixels: DataFrame, values: list[str], in_h: Column, in_w: Col
 
 def linear_taps(size: DataFrame, n_in: str, n_out: str) -> DataFrame:
     """``out, src, weight`` and the columns of ``size``: two taps a pixel, ends meet ends."""
-    at = F.when(F.col(n_out) > 1, F.col("out") * (F.col(n_in) - 1) / (F.col(n_out) - 1).cast("double")).otherwise(0.0)
+    at = F.when(F.col(n_out) > 1, F.col("out").cast("long") * (F.col(n_in) - 1) / (F.col(n_out) - 1).cast("double")).otherwise(0.0)
     rows = size.withColumn("out", F.explode(F.sequence(F.lit(0), F.col(n_out) - 1))).withColumn("_at", at)
     low = F.least(F.floor("_at"), F.col(n_in) - 1).cast("int")
     pair = F.array(F.struct(low.alias("src"), (F.lit(1.0) - (F.col("_at") - low)).alias("weight")), F.struct((low + 1).alias("src"), (F.col("_at") - low).alias("weight")))
