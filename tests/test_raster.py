@@ -98,6 +98,7 @@ def test_gate_of_a_tall_image(spark):
     under = {r["ri"]: [y for y in (0, 1, 50, 23_990, th - 1) if r["oy0"] * th // h <= y < min(th, (r["oy0"] + r["oh"]) * th // h + 1)] for r in tiles.collect()}
     assert got == {ri: (2 * len(ys), 2 * sum(y >= 50 for y in ys)) for ri, ys in under.items() if ys}
     kept = sum(bool(ys) and sum(y >= 50 for y in ys) / len(ys) >= 0.65 for ys in under.values())
+    assert gated.where("tissue").count() == kept  # as tissue_tiles lists
     assert stats.tile_counters(gated).select("tiles_total", "tiles_kept").first() == (len(under), kept)
     some = len(under) - kept
     picked = sorted(r["ri"] for r in strided_pick(gated.where("not tissue"), 4).collect())
