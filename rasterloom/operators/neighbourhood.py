@@ -144,9 +144,27 @@ def window_starts(size: Column, roi: int, overlap: float) -> Column:
 
 
 def windows_of(pixels: DataFrame, height: Column, width: Column, roi: int, overlap: float) -> DataFrame:
-    """All columns with ``wy, wx``: a row for each window that covers the pixel."""
-    cover = lambda i, n: F.filter(window_starts(n, roi, overlap), lambda s: (s <= F.col(i)) & (F.col(i) < s + roi))
-    return pixels.withColumn("wy", F.explode(cover("y", height.cast("int")))).withColumn("wx", F.explode(cover("x", width.cast("int"))))
+    """All columns with ``wy, wx``: a row for each window that covers the pixel.
+
+    The windows of ``window_starts``, found from the pixel's place: work does not depend on how many
+    windows an axis has. Of those a whole number of steps from 0 the first and last are known; the
+    one that ends at the border comes after them.
+    """
+    step = max(1, int(roi * (1 - overlap)))
+
+    def covering(rows: DataFrame, i: str, size: Column, out: str) -> DataFrame:
+        below = lambda v: v - F.pmod(v, F.lit(step))  # noqa: E731  # the last multiple of step up to v
+        border = F.greatest(F.lit(0), size - roi)
+        rows = rows.withColumns({"_first": F.greatest(F.lit(0), below(F.col(i) - roi) + step), "_last": F.least(below(F.col(i)), below(border - 1)), "_border": border})
+        regular = F.greatest(F.lit(0), F.expr(f"cast((_last - _first + {step}) div {step} as int)"))
+        ending = ((F.col("_border") <= F.col(i)) & (F.col(i) < F.col("_border") + roi)).cast("int")
+        rows = rows.withColumn("_regular", regular).withColumn("_all", F.col("_regular") + ending).where("_all > 0")
+        rows = rows.withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("_all") - 1)))
+        start = F.expr(f"cast(if(_k < _regular, _first + _k * {step}, _border) as int)")
+        return rows.withColumn(out, start).drop("_first", "_last", "_border", "_regular", "_all", "_k")
+
+    rows = pixels.withColumns({"_h": height.cast("int"), "_w": width.cast("int")}).where("_h is not null and _w is not null")
+    return covering(covering(rows, "y", F.col("_h"), "wy"), "x", F.col("_w"), "wx").drop("_h", "_w")
 
 
 def importance(roi: int, overlap: float, sigma: float = 0.125) -> Column:
